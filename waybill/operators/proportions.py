@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,12 +20,9 @@ def _complementary_error_function():
 
     Defined in a function so that workers need not import this package.
     """
-    import pandas as pd
 
     @F.pandas_udf("double")
     def erfc(values: pd.Series) -> pd.Series:
-        import math
-
         return values.map(math.erfc, na_action="ignore").astype("float64")
 
     return erfc

@@ -26,27 +26,25 @@ def order_lines(items: DataFrame) -> DataFrame:
     """Per order: line count, distinct sellers, value, freight, and the main line's keys.
 
     The main line is the single line with the highest price, ties going to the lowest line
-    number. One scan gives everything: lines are first reduced to order and seller, where the
-    rows of a seller are already distinct, then to the order. Both steps combine before the
-    shuffle, so an order or seller with very many lines does not land on one task.
+    number. Taking it as a maximum lets one scan give everything, and lets it combine before the
+    shuffle like the sums; Spark reduces to order and seller first to count distinct sellers. So
+    an order or seller with very many lines does not land on one task.
     """
-    # Largest struct: highest price, then lowest line number; NULLs are smallest, so come last.
-    line = F.struct("price", (-F.col("order_item_id").cast("bigint")).alias("rank"), "product_id")
-    per_seller = items.groupBy("order_id", "seller_id").agg(
-        row_count().alias("lines"),
-        F.sum("price").alias("value"),
-        F.sum("freight").alias("freight"),
-        F.max(line).alias("top_line"),
+    # The largest struct has the highest price, then the lowest line number. NULL is smallest,
+    # so it comes last. The keys settle lines that are equal in both.
+    main_line = F.max(
+        F.struct(
+            "price", (-F.col("order_item_id").cast("bigint")).alias("line"), "product_id", "seller_id"
+        )
     )
-    top = F.max(F.struct("top_line", "seller_id"))
     return (
-        per_seller.groupBy("order_id")
+        items.groupBy("order_id")
         .agg(
-            F.sum("lines").alias("item_count"),
-            F.count("seller_id").alias("seller_count"),
-            F.sum("value").alias("item_value"),
+            row_count().alias("item_count"),
+            F.countDistinct("seller_id").alias("seller_count"),
+            F.sum("price").alias("item_value"),
             F.sum("freight").alias("freight_value"),
-            top.alias("top"),
+            main_line.alias("main"),
         )
         .select(
             "order_id",
@@ -54,8 +52,8 @@ def order_lines(items: DataFrame) -> DataFrame:
             "seller_count",
             "item_value",
             "freight_value",
-            F.col("top.seller_id").alias("main_seller_id"),
-            F.col("top.top_line.product_id").alias("main_product_id"),
+            F.col("main.seller_id").alias("main_seller_id"),
+            F.col("main.product_id").alias("main_product_id"),
         )
     )
 
