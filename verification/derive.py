@@ -20,6 +20,9 @@ from waybill.sources.staging import latest_reviews, stage_products
 HOUR_SPREAD = 720
 
 
+# Plans are kept per session and folder, never data: a repeated query skips the footer read and
+# the analysis of its inputs.
+@cache
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -191,11 +194,13 @@ _RAW = {
 }
 
 
+@cache
 def raw_inputs(spark: SparkSession, sf_dir: str) -> Derived:
-    open_table = cache(partial(load, spark, sf_dir))
+    open_table = partial(load, spark, sf_dir)
     return Derived({name: partial(build, open_table) for name, build in _RAW.items()})
 
 
+@cache
 def raw_text(spark: SparkSession, sf_dir: str) -> Derived:
     """The all-text form a CSV scan gives."""
     raw = raw_inputs(spark, sf_dir)
@@ -206,6 +211,7 @@ def raw_text(spark: SparkSession, sf_dir: str) -> Derived:
     return Derived({name: partial(as_text, name) for name in raw})
 
 
+@cache
 def typed(spark: SparkSession, sf_dir: str) -> Derived:
     """Staging tables without the detour over text, keys left as numbers."""
     c = F.col

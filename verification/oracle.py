@@ -302,15 +302,16 @@ def _ztest(counts: str, keys: str = "") -> str:
     """z from a 2x2 chi-square identity; the p-value from the power series of erf."""
     return f"""
         SELECT *, n1 AS on_time_customers, n2 AS late_customers, x1 AS on_time_repeat,
-               x2 AS late_repeat, diff / p1 AS relative_diff, diff - 1.96 * se AS ci_low,
+               x2 AS late_repeat, if(p1 = 0, 'nan'::DOUBLE, diff / p1) AS relative_diff,
+               diff - 1.96 * se AS ci_low,
                diff + 1.96 * se AS ci_high,
                (SELECT 1 - exp(-z * z / 2) * SUM(pow(abs(z) / sqrt(2), 2 * k + 1) / gamma(k + 1.5))
                 FROM range(0, 120) AS terms(k)) AS p_value
         FROM (SELECT *, p1 - p2 AS diff,
                      sqrt(p1 * (1 - p1) / n1 + p2 * (1 - p2) / n2) AS se,
                      (x1::DOUBLE * (n2 - x2) - x2::DOUBLE * (n1 - x1)) * sqrt(n1::DOUBLE + n2)
-                       / sqrt(n1::DOUBLE * n2 * (x1 + x2) * (n1 + n2 - x1 - x2)) AS z
-              FROM (SELECT *, x1 / n1 AS p1, x2 / n2 AS p2 FROM {counts}))"""
+                       / nullif(sqrt(n1::DOUBLE * n2 * (x1 + x2) * (n1 + n2 - x1 - x2)), 0) AS z
+              FROM (SELECT *, x1 / nullif(n1, 0) AS p1, x2 / nullif(n2, 0) AS p2 FROM {counts}))"""
 
 
 def _checks() -> str:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
-from functools import wraps
+from functools import cache, wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,6 +60,7 @@ def query(build: Query) -> Query:
     return build
 
 
+@cache
 def _fact(spark, sf) -> DataFrame:
     return facts.build_fct_orders(derive.typed(spark, sf))
 

@@ -23,7 +23,9 @@ def _as_double(name: str) -> Column:
 
 def _as_int(name: str) -> Column:
     """Whole number from text such as `3` or `3.0`; halves round away from zero."""
-    return F.round(F.col(name).cast("decimal(28,9)"), 0).cast("int")
+    text = F.col(name)
+    # The second form is only evaluated for text that is not plainly an integer.
+    return F.coalesce(text.try_cast("int"), F.round(text.cast("double"), 0).cast("int"))
 
 
 def stage_orders(raw: DataFrame) -> DataFrame:
