@@ -41,11 +41,7 @@ def comparable(df: DataFrame) -> DataFrame:
                 column = F.round(column, 6) + F.lit(0.0)
             case T.IntegerType() | T.LongType():
                 column = column.cast("bigint")
-            case T.DateType():
-                column = F.date_format(column, "yyyy-MM-dd")
-            case T.TimestampNTZType():
-                column = F.date_format(column, "yyyy-MM-dd HH:mm:ss")
-            case T.BooleanType():
+            case T.DateType() | T.TimestampNTZType() | T.BooleanType():
                 column = column.cast("string")
         out.append(column.alias(field.name))
     return df.select(*out)
@@ -487,7 +483,8 @@ def quality_checks(spark, sf):
 @query
 def quality_gate(spark, sf):
     """Raises when a check fails; on these tables all pass."""
-    return quality.gate(_report(spark, sf)).agg(F.sum("failing_rows").alias("failing_rows"))
+    report_once = scratch_table(_report(spark, sf), "quality_checks")
+    return quality.gate(report_once).agg(F.sum("failing_rows").alias("failing_rows"))
 
 
 @query

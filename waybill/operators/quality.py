@@ -40,7 +40,9 @@ def scan_checks(df: DataFrame, checks: Mapping[str, Column]) -> DataFrame:
     return counted.select(F.inline(F.array(*pairs)))
 
 
-def fk_check(name: str, child: DataFrame, child_key: str, parent: DataFrame, parent_key: str):
+def fk_check(
+    name: str, child: DataFrame, child_key: str, parent: DataFrame, parent_key: str
+) -> DataFrame:
     """Child rows whose key is missing or not in the parent.
 
     Child rows are counted per key before the anti-join, so a key with most of the rows, or most
@@ -59,6 +61,7 @@ def run_checks(
     t: Mapping[str, DataFrame], fct_orders: DataFrame, retention: DataFrame
 ) -> DataFrame:
     """The ten checks of the pipeline, one row each; all should be 0."""
+    # The check names are part of the published report.
     items, reviews = t["stg_order_items"], t["stg_reviews"]
     reports = [
         scan_checks(

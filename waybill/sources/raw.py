@@ -56,6 +56,9 @@ def read_raw(
 
 
 def read_raw_zone(spark: SparkSession, raw_dir: str) -> dict[str, DataFrame]:
+    """All nine inputs. Staging casts must stop on malformed text, so ANSI mode has to be on."""
+    if spark.conf.get("spark.sql.ansi.enabled") != "true":
+        raise RuntimeError("set spark.sql.ansi.enabled=true: malformed values would become NULL")
     paths = require_inputs(spark, raw_dir)
     return {
         name: read_raw(spark, found, multi_line=name in MULTI_LINE_INPUTS)

@@ -12,19 +12,16 @@ from pyspark.sql import DataFrame, SparkSession
 def write_table(df: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:
     """Full refresh of a Parquet table; returns a scan of what was written.
 
-    The rebalance hint lets Spark merge small and split oversized output partitions, so one
-    month with most of the rows still ends up as many files written by many tasks.
+    Unpartitioned tables are written as they come, without a shuffle. For a partitioned one the
+    rebalance hint groups rows by partition value and lets Spark split oversized groups, so there
+    are neither many small files nor one task for a month with most of the rows.
     """
     spark = df.sparkSession
     if partition_by is None:
-        df.hint("rebalance").write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").parquet(path)
     else:
-        (
-            df.hint("rebalance", partition_by)
-            .write.mode("overwrite")
-            .partitionBy(partition_by)
-            .parquet(path)
-        )
+        grouped = df.hint("rebalance", partition_by)
+        grouped.write.mode("overwrite").partitionBy(partition_by).parquet(path)
     # The reader moves partition columns to the end; keep the order of the definition.
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
