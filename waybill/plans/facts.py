@@ -26,35 +26,29 @@ def order_lines(items: DataFrame) -> DataFrame:
     """Per order: line count, distinct sellers, value, freight, and the main line's keys.
 
     The main line is the single line with the highest price, ties going to the lowest line
-    number. Taking it as a maximum lets one scan give everything, and lets it combine before the
-    shuffle like the sums; Spark reduces to order and seller first to count distinct sellers. So
-    an order or seller with very many lines does not land on one task.
+    number. Taken as a maximum it shares a pass with the sums and, like them, is combined before
+    the shuffle, so an order with very many lines does not land on one task. Distinct sellers are
+    counted apart: together, Spark would carry everything through the extra step that takes. Both
+    results are partitioned by order, and as a left join the count drops out where it is not used.
     """
     # The largest struct has the highest price, then the lowest line number. NULL is smallest,
     # so it comes last. The keys settle lines that are equal in both.
-    main_line = F.max(
-        F.struct(
-            "price", (-F.col("order_item_id").cast("bigint")).alias("line"), "product_id", "seller_id"
-        )
+    line = (-F.col("order_item_id").cast("bigint")).alias("line")
+    totals = items.groupBy("order_id").agg(
+        row_count().alias("item_count"),
+        F.sum("price").alias("item_value"),
+        F.sum("freight").alias("freight_value"),
+        F.max(F.struct("price", line, "product_id", "seller_id")).alias("main"),
     )
-    return (
-        items.groupBy("order_id")
-        .agg(
-            row_count().alias("item_count"),
-            F.countDistinct("seller_id").alias("seller_count"),
-            F.sum("price").alias("item_value"),
-            F.sum("freight").alias("freight_value"),
-            main_line.alias("main"),
-        )
-        .select(
-            "order_id",
-            "item_count",
-            "seller_count",
-            "item_value",
-            "freight_value",
-            F.col("main.seller_id").alias("main_seller_id"),
-            F.col("main.product_id").alias("main_product_id"),
-        )
+    sellers = items.groupBy("order_id").agg(F.countDistinct("seller_id").alias("seller_count"))
+    return totals.join(sellers, "order_id", "left").select(
+        "order_id",
+        "item_count",
+        "seller_count",
+        "item_value",
+        "freight_value",
+        F.col("main.seller_id").alias("main_seller_id"),
+        F.col("main.product_id").alias("main_product_id"),
     )
 
 
