@@ -73,7 +73,7 @@ def test_partitioned_table_keeps_column_order_and_refreshes(spark, tmp_path):
 def test_csv_extract_round_trip(spark, tmp_path):
     df = spark.createDataFrame(
         [
-            ("a,b", 1, 1e-7, True, dt.date(2020, 1, 2), dt.datetime(2020, 1, 2, 3, 4, 5)),
+            (" a,b  ", 1, 1e-7, True, dt.date(2020, 1, 2), dt.datetime(2020, 1, 2, 3, 4, 5)),
             ('q"q', None, None, None, None, None),
         ],
         "s string, n bigint, x double, f boolean, d date, t timestamp_ntz",

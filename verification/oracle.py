@@ -9,8 +9,8 @@ from __future__ import annotations
 # Kinds of output columns: bigint, double to 6 decimals, money to 2, text, date, timestamp, flag.
 _KINDS = {
     "n": "CAST({c} AS BIGINT)",
-    "r": "ROUND(CAST({c} AS DOUBLE), 6) + 0.0::DOUBLE",
-    "m": "ROUND(ROUND(CAST({c} AS DOUBLE), 2), 6) + 0.0::DOUBLE",
+    "r": "round_even(CAST({c} AS DOUBLE) * 1e6::DOUBLE, 0) / 1e6::DOUBLE + 0.0::DOUBLE",
+    "m": "round_even(CAST({c} AS DOUBLE) * 1e2::DOUBLE, 0) / 1e2::DOUBLE + 0.0::DOUBLE",
     "s": "CAST({c} AS VARCHAR)",
     "d": "STRFTIME({c}, '%Y-%m-%d')",
     "t": "STRFTIME({c}, '%Y-%m-%d %H:%M:%S')",
@@ -344,11 +344,11 @@ def _checks() -> str:
 def statements() -> dict[str, str]:
     return {
         "csv_roundtrip": shaped(
-            "order_id:n order_status:s purchased_at:t delivered_at:t line_numbers:n price:m",
+            "order_id:n order_status:s purchased_at:t delivered_at:t line_numbers:n item_value:m",
             "o",
             """SELECT order_id, status AS order_status, bought AS purchased_at,
                       arrived AS delivered_at, SUM(l_linenumber) AS line_numbers,
-                      SUM(l_extendedprice) AS price
+                      SUM(l_extendedprice) AS item_value
                FROM o INNER JOIN lineitem ON l_orderkey = order_id GROUP BY ALL""",
         ).replace("CAST(order_id AS BIGINT)", "CAST(order_id AS VARCHAR)"),
         "table_roundtrip": shaped(
@@ -471,10 +471,10 @@ def statements() -> dict[str, str]:
             f"SELECT distance_label, {_BI} FROM bi_label GROUP BY distance_label",
         ),
         "join_inner": shaped(
-            "seller_state:s customer_state:s lines:n price:m",
+            "seller_state:s customer_state:s lines:n item_value:m",
             "cust sell",
             """SELECT sell.state AS seller_state, cust.state AS customer_state,
-                      COUNT(*) AS lines, SUM(l_extendedprice) AS price
+                      COUNT(*) AS lines, SUM(l_extendedprice) AS item_value
                FROM lineitem, cust, sell
                WHERE l_suppkey = seller_id AND l_orderkey = customer_id GROUP BY ALL""",
         ),
@@ -571,6 +571,7 @@ def statements() -> dict[str, str]:
         ),
         "mart_monthly": shaped(_MONTHLY_COLUMNS, "monthly", "FROM monthly"),
         "mart_distance": shaped(_DISTANCE_COLUMNS, "distance", "FROM distance"),
+        "job_distance_extract": shaped(_DISTANCE_COLUMNS, "distance", "FROM distance"),
         "quality_checks": shaped(
             "check_name:s failing_rows:n", "f r cust sell prod rev", _checks()
         ),

@@ -15,7 +15,7 @@ from waybill.functions import bands, geo, measures, text, timing
 from waybill.operators import proportions, quality, ranking, shares
 from waybill.operators.dedupe import first_per_key
 from waybill.params import COUNTRY_BOX, Params
-from waybill.plans import bi, charts, facts, marts, report
+from waybill.plans import bi, charts, facts, job, marts, report
 from waybill.sources import extracts, raw, staging
 from waybill.sources.storage import scratch_path, scratch_table, write_table
 
@@ -30,6 +30,10 @@ LONG_WINDOW = Params(window_days=1800)
 QUERIES: dict[str, Query] = {}
 
 
+# Sums of two-decimal prices: exact to the cent, whatever the order of addition.
+CENTS = ("item_value",)
+
+
 def comparable(df: DataFrame) -> DataFrame:
     """Plain types for the value comparison: text, bigint and doubles of six decimals."""
     out = []
@@ -37,8 +41,9 @@ def comparable(df: DataFrame) -> DataFrame:
         column = F.col(field.name)
         match field.dataType:
             case T.DoubleType():
-                # Adding zero turns -0.0 into 0.0.
-                column = F.round(column, 6) + F.lit(0.0)
+                # The same double arithmetic as in the SQL. Adding zero turns -0.0 into 0.0.
+                places = 1e2 if field.name in CENTS else 1e6
+                column = F.rint(column * places) / places + 0.0
             case T.IntegerType() | T.LongType():
                 column = column.cast("bigint")
             case T.DateType() | T.TimestampNTZType() | T.BooleanType():
@@ -91,11 +96,11 @@ def csv_roundtrip(spark, sf):
     items = staging.stage_order_items(raw.read_raw(spark, paths["order_items"]))
     return (
         items.groupBy("order_id")
-        .agg(F.sum("order_item_id").alias("line_numbers"), F.sum("price").alias("price"))
+        .agg(F.sum("order_item_id").alias("line_numbers"), F.sum("price").alias("item_value"))
         .join(orders, "order_id")
         .select(
             "order_id", "order_status", "purchased_at", "delivered_at", "line_numbers",
-            F.round("price", 2).alias("price"),
+            "item_value",
         )
     )
 
@@ -112,7 +117,7 @@ def table_roundtrip(spark, sf):
 
 @query
 def extract_orders(spark, sf):
-    return extracts.extract_orders(_money(_fact(spark, sf)))
+    return extracts.extract_orders(_fact(spark, sf))
 
 
 @query
@@ -275,7 +280,7 @@ def join_inner(spark, sf):
         .join(t["stg_sellers"], "seller_id")
         .join(t["stg_customers"], F.col("order_id") == F.col("customer_id"))
         .groupBy("seller_state", "customer_state")
-        .agg(measures.row_count().alias("lines"), F.round(F.sum("price"), 2).alias("price"))
+        .agg(measures.row_count().alias("lines"), F.sum("price").alias("item_value"))
     )
 
 
@@ -307,7 +312,7 @@ def check_orphans(spark, sf):
 def agg_items(spark, sf):
     items = derive.typed(spark, sf)["stg_order_items"]
     return facts.order_lines(items).select(
-        "order_id", "item_count", "seller_count", F.round("item_value", 2).alias("item_value"),
+        "order_id", "item_count", "seller_count", "item_value",
         "freight_value",
     )
 
@@ -387,14 +392,9 @@ def ntile_scalable(spark, sf):
 # --- fact, retention, marts ----------------------------------------------------------------
 
 
-def _money(df: DataFrame) -> DataFrame:
-    """Sums of two-decimal prices are exact to the cent, whatever the order of addition."""
-    return df.withColumn("item_value", F.round("item_value", 2))
-
-
 @query
 def fct_orders(spark, sf):
-    return _money(_fact(spark, sf))
+    return _fact(spark, sf)
 
 
 @query
@@ -404,7 +404,7 @@ def next_after_delivery(spark, sf):
 
 @query
 def first_order_retention(spark, sf):
-    return _money(_retention(spark, sf))
+    return _retention(spark, sf)
 
 
 @query
@@ -448,7 +448,7 @@ def mart_state(spark, sf):
 
 @query
 def mart_seller(spark, sf):
-    return _money(marts.mart_seller(_fact(spark, sf), PARAMS))
+    return marts.mart_seller(_fact(spark, sf), PARAMS)
 
 
 @query
@@ -461,6 +461,18 @@ def mart_distance(spark, sf):
     return marts.mart_distance(_fact(spark, sf))
 
 
+@query
+def job_distance_extract(spark, sf):
+    """The whole job from raw CSV files, and one of its extracts read back."""
+    zone, out = scratch_path(spark, "raw"), scratch_path(spark, "out")
+    for name, frame in derive.raw_text(spark, sf).items():
+        extracts.write_csv(frame, f"{zone}/{raw.RAW_INPUTS[name]}")
+    tables = job.run_pipeline(spark, zone, out, PARAMS)
+    return extracts.read_csv_as(
+        spark, f"{out}/extracts/distance.csv", tables["mart_distance"]
+    )
+
+
 # --- quality, statistics, report, dashboard, charts ----------------------------------------
 
 

@@ -15,6 +15,9 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False) -> str:
     (
         out.write.mode("overwrite")
         .option("timestampNTZFormat", TIMESTAMP_FORMAT)
+        # The writer would trim text otherwise.
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .csv(path, header=True, quote='"', escape='"')
     )
     return path
