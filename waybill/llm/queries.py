@@ -7,8 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waybill.llm import decontaminate
-from waybill.llm.common import table
+from waybill.llm import (
+    decontaminate,
+    grade_model,
+    license_index,
+    mixing,
+    preference,
+    quality_rules,
+    url_filter,
+    warc,
+)
+from waybill.llm.common import scratch_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -31,3 +40,56 @@ def op1_decontamination(spark, sf):
         F.sha2(ids, 256).alias("items_sha256"),
         "contaminated",
     )
+
+
+@query
+def op2_warc(spark, sf):
+    """Every page written to a web archive and read back."""
+    path = scratch_path(spark, "warc")
+    warc.write_archive(table(spark, sf, "pages"), path)
+    return warc.pages_of(warc.read_archive(spark, path))
+
+
+@query
+def op3_mixing(spark, sf):
+    """Every document's share in a mix of the sources."""
+    return mixing.plan(table(spark, sf, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken"
+    )
+
+
+@query
+def op5_url_filter(spark, sf):
+    """Host, path, rule and verdict of every page's url."""
+    return url_filter.judge(table(spark, sf, "pages"))
+
+
+@query
+def op8_preference(spark, sf):
+    """Every conversation as a preference example against its neighbour's reply."""
+    pairs = preference.with_foreign_reply(table(spark, sf, "conversations"))
+    return preference.examples(pairs).select(
+        "conv_id", "n_prompt_turns", "prompt", "chosen", "rejected", "chosen_mask", "rejected_mask", "differs"
+    )
+
+
+@query
+def op7_quality_rules(spark, sf):
+    """Rule counts and verdict of every document."""
+    docs = table(spark, sf, "documents")
+    return quality_rules.judge(docs, quality_rules.fit(docs, table(spark, sf, "labels")))
+
+
+@query
+def op10_licenses(spark, sf):
+    """Licence phrases and labels of every document."""
+    return license_index.scan(table(spark, sf, "documents"))
+
+
+@query
+def op4_grades(spark, sf):
+    """Expected grade, tail probability and selection of every document."""
+    docs = table(spark, sf, "documents")
+    model = grade_model.fit(docs, grade_model.grades(table(spark, sf, "labels")))
+    scored, expected, tail = grade_model.score(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", expected, tail, (F.col(tail) >= grade_model.SELECT_FROM).alias("selected"))

@@ -35,5 +35,58 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(COALESCE(n_hit, 0) AS BIG
     CAST(COALESCE(n_items, 0) AS BIGINT) AS n_items, sha256(COALESCE(ids, '')) AS items_sha256,
     COALESCE(n_hit, 0) > 0 AND 20 * COALESCE(n_hit, 0) >= len(w) AS contaminated
 FROM doc LEFT JOIN covered USING (r) LEFT JOIN item_of USING (r)
+""",
+    "op2_warc": """
+WITH page AS (
+    SELECT page_id, COALESCE(strlen(html), 0) AS n, sha256(COALESCE(html, '')) AS digest FROM pages
+), first AS (
+    SELECT digest, MIN(page_id) AS first_id FROM page WHERE n >= 100 GROUP BY digest
+)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, page.digest AS payload_digest,
+    CASE WHEN first_id <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN first_id <> page_id THEN first_id END AS refers_to
+FROM page LEFT JOIN first ON page.digest = first.digest AND n >= 100
+""",
+    "op8_preference": """
+WITH turn AS (
+    SELECT conv_id, COALESCE(role, '') AS role, COALESCE(text, '') AS text,
+        row_number() OVER (
+            PARTITION BY conv_id ORDER BY turn NULLS FIRST, COALESCE(role, ''), COALESCE(text, '')
+        ) AS p
+    FROM conversations
+), conv AS (
+    SELECT conv_id, COUNT(*) AS n, MAX(CASE WHEN role = 'assistant' THEN p END) AS last_reply
+    FROM turn GROUP BY conv_id
+), reply AS (
+    SELECT turn.conv_id, turn.text FROM turn JOIN conv ON turn.conv_id = conv.conv_id AND p = last_reply
+), pair AS (
+    SELECT conv.conv_id, n, last_reply, other.text AS other,
+        CASE WHEN last_reply IS NULL THEN n WHEN other.text = own.text THEN last_reply ELSE last_reply - 1 END AS shared
+    FROM conv LEFT JOIN reply AS own ON own.conv_id = conv.conv_id
+    LEFT JOIN reply AS other ON last_reply IS NOT NULL AND other.conv_id = xor(conv.conv_id, 1)
+), piece AS (
+    SELECT conv_id, p, '<|im_start|>' || role || chr(10) AS head, text || '<|im_end|>' || chr(10) AS body,
+        role = 'assistant' AS trained
+    FROM turn
+), side AS (
+    SELECT conv_id, p <= shared AS is_prompt, string_agg(head || body, '' ORDER BY p) AS written,
+        string_agg(
+            CASE WHEN trained THEN length(head) || ':0,' || length(body) || ':1'
+                ELSE (length(head) + length(body)) || ':0' END, ',' ORDER BY p
+        ) AS mask
+    FROM piece JOIN pair USING (conv_id) GROUP BY 1, 2
+), answer AS (
+    SELECT conv_id, '<|im_start|>assistant' || chr(10) AS head, other || '<|im_end|>' || chr(10) AS body
+    FROM pair WHERE other IS NOT NULL AND shared < last_reply
+)
+SELECT pair.conv_id, CAST(shared AS BIGINT) AS n_prompt_turns, COALESCE(prompt.written, '') AS prompt,
+    COALESCE(rest.written, '') AS chosen, COALESCE(answer.head || answer.body, '') AS rejected,
+    COALESCE(rest.mask, '') AS chosen_mask,
+    COALESCE(length(answer.head) || ':0,' || length(answer.body) || ':1', '') AS rejected_mask,
+    rest.conv_id IS NOT NULL OR answer.conv_id IS NOT NULL AS differs
+FROM pair
+LEFT JOIN side AS prompt ON prompt.conv_id = pair.conv_id AND prompt.is_prompt
+LEFT JOIN side AS rest ON rest.conv_id = pair.conv_id AND NOT rest.is_prompt
+LEFT JOIN answer ON answer.conv_id = pair.conv_id
 """,
 }
