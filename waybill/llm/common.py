@@ -55,13 +55,24 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def drop_scratch(spark: SparkSession) -> None:
-    """Remove every scratch table and file folder that this application's operators wrote."""
+def scratch_mark(spark: SparkSession) -> int:
+    """How many scratch folders this application has made so far."""
+    return len(_scratch.get(spark.sparkContext.applicationId, []))
+
+
+def drop_scratch(spark: SparkSession, since: int = 0, keep: tuple[str, ...] = ()) -> None:
+    """Remove the scratch folders that operators made after a `scratch_mark`, but those in `keep`.
+
+    Frames that read them fail afterwards. Called by jobs that know when their results are written.
+    """
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for path in _scratch.pop(spark.sparkContext.applicationId, []):
-        where = jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(conf).delete(where, True)
+    made = _scratch.get(spark.sparkContext.applicationId, [])
+    for path in made[since:]:
+        if path not in keep:
+            where = jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(conf).delete(where, True)
+            made.remove(path)
 
 
 def free_name(df: DataFrame, name: str) -> str:

@@ -124,7 +124,7 @@ def train(texts: pa.Array, good: np.ndarray, held_out: np.ndarray) -> Model:
     for row, run in runs(texts, lowered=True, blank_words=True):
         text, slot, share = _sparse(run)
         parts.append((text + row, slot.astype(np.int32), share.astype(np.float32)))
-    if not parts or good.min() == good.max():
+    if not len(good) or not parts or good.min() == good.max():
         return Model(np.zeros(_SLOTS), 0.0, 0.0, 4.0 if not len(good) or good[0] else -4.0)
     text, slot, share = (np.concatenate(part) for part in zip(*parts, strict=True))
     n, label = len(good), good.astype(float)
@@ -183,6 +183,8 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> Model:
     # One task: the sample is bounded by `rows`.
     fitted = stored(sample.repartition(1).mapInArrow(train_all, "slot bigint, value double"), "rules-model")
     found = {row.slot: row.value for row in fitted.collect()}
+    if not found:  # without rows the task may not run
+        return train(pa.array([], pa.string()), np.zeros(0, dtype=bool), np.zeros(0, dtype=bool))
     weights = np.zeros(_SLOTS)
     slots = [slot for slot in found if slot >= 0]
     weights[slots] = [found[slot] for slot in slots]

@@ -12,8 +12,10 @@ from waybill.llm import (
     grade_model,
     license_index,
     mixing,
+    order_minhash,
     preference,
     quality_rules,
+    token_output,
     url_filter,
     warc,
 )
@@ -93,3 +95,17 @@ def op4_grades(spark, sf):
     model = grade_model.fit(docs, grade_model.grades(table(spark, sf, "labels")))
     scored, expected, tail = grade_model.score(docs.select("doc_id", "text"), model)
     return scored.select("doc_id", expected, tail, (F.col(tail) >= grade_model.SELECT_FROM).alias("selected"))
+
+
+@query
+def op6_order_minhash(spark, sf):
+    """The near-duplicate class of every document."""
+    return order_minhash.classes(table(spark, sf, "documents"))
+
+
+@query
+def op9_token_output(spark, sf):
+    """Every document's place and checksum, from the token files that were written for it."""
+    path = scratch_path(spark, "tokens")
+    token_output.write_tokens(table(spark, sf, "documents"), path)
+    return token_output.digests(token_output.read_tokens(spark, path))
