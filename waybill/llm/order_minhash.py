@@ -33,7 +33,7 @@ SHINGLE_WORDS, LEAST_SIMILARITY = 5, 0.8
 #: 0.64, and none of them with 5e-6.
 ENTRIES, PICKED = 12, 2
 #: Buckets up to this size are paired in full; larger ones are split by up to LEVELS entries.
-SMALL_BUCKET, LEVELS, LEADERS = 24, 4, 3
+SMALL_BUCKET, LEVELS = 24, 4
 
 _MOST = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -163,11 +163,12 @@ def _sharing_rare_shingles(hot: DataFrame, shingles: DataFrame) -> DataFrame:
 
 
 def candidates(reps: DataFrame, shingles: DataFrame) -> DataFrame:
-    """Distinct candidate pairs a < b from (rep, sketch) and (rep, shingles).
+    """Distinct candidate pairs a < b from (rep, n_words, sketch) and (rep, shingles).
 
     Buckets form by one entry; those larger than SMALL_BUCKET split by the entry after it, and so on.
-    Sizes and leaders come from partial aggregates. The leaders are those with the largest sum of
-    bucket sizes over all entries: the text that others are copies of shares entries with most of them.
+    Sizes and leaders come from partial aggregates. The leaders are members with the largest sum of
+    bucket sizes over all entries, as the text that others are copies of shares entries with most of
+    them, and the shortest member, which is nearest to the others where all share one long passage.
     """
     keys = F.transform(
         F.sequence(F.lit(0), F.lit(ENTRIES - 1)),
@@ -178,21 +179,21 @@ def candidates(reps: DataFrame, shingles: DataFrame) -> DataFrame:
             ),
         ),
     )
-    rows = reps.select("rep", F.explode(keys).alias("keys")).withColumn("key", F.col("keys")[0])
+    rows = reps.select("rep", "n_words", F.explode(keys).alias("keys")).withColumn("key", F.col("keys")[0])
     sizes = rows.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     met = stored(rows.join(sizes, "key"), "buckets")
     found = [_full_pairs(met.filter(F.col("n") <= SMALL_BUCKET))]
     hot = met.filter(F.col("n") > SMALL_BUCKET)
     central = hot.groupBy("rep").agg(F.sum("n").alias("central"))
-    hot = stored(hot.select("rep", "keys").join(central, "rep"), "hot-buckets")
+    hot = stored(hot.select("rep", "n_words", "keys").join(central, "rep"), "hot-buckets")
     found.append(_sharing_rare_shingles(hot, shingles))
     for level in range(LEVELS):
         hot = hot.withColumn("key", F.col("keys")[level])
-        leader = [
-            F.max(F.struct("central", F.xxhash64("key", F.lit(i), "rep").alias("draw"), "rep"))["rep"]
-            for i in range(LEADERS)
-        ]
-        sizes = hot.groupBy("key").agg(F.count("*").alias("n"), F.array_distinct(F.array(*leader)).alias("leaders"))
+        shortest = (-F.col("n_words")).alias("short")
+        draw = [F.xxhash64("key", F.lit(i), "rep").alias("draw") for i in range(2)]
+        ranked = (("central", shortest, draw[0]), ("central", draw[0]), ("central", draw[1]), (shortest, draw[0]))
+        leaders = F.array_distinct(F.array(*(F.max(F.struct(*by, "rep"))["rep"] for by in ranked)))
+        sizes = hot.groupBy("key").agg(F.count("*").alias("n"), leaders.alias("leaders"))
         sized = stored(hot.join(sizes.filter("n > 1"), "key"), "hot-level")
         found.append(_stars(sized.filter(F.col("n") > SMALL_BUCKET)))
         found.append(_full_pairs(sized.filter(F.col("n") <= SMALL_BUCKET)))
@@ -314,7 +315,7 @@ def classes(docs: DataFrame) -> DataFrame:
     shingles = made.select(F.col("doc_id").alias("rep"), "digest", "shingles").join(
         reps.select("rep", "digest"), ["rep", "digest"], "left_semi"
     )
-    pairs = stored(candidates(reps.select("rep", "sketch"), shingles), "pairs")
+    pairs = stored(candidates(reps.select("rep", "n_words", "sketch"), shingles), "pairs")
     wanted = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
     shingles = stored(shingles.join(wanted, "rep", "left_semi").dropDuplicates(["rep"]), "candidates")
     found = components(stored(links(pairs, shingles), "links"))
