@@ -154,12 +154,15 @@ def _stars(rows: DataFrame) -> DataFrame:
     )
 
 
-def _sharing_rare_shingles(hot: DataFrame, shingles: DataFrame) -> DataFrame:
-    """Pairs among the members of large buckets by shingles that only a few of them have."""
-    own = shingles.join(hot.select("rep").distinct(), "rep", "left_semi")
-    rows = own.select("rep", F.explode(F.array_distinct("shingles")).alias("key"))
-    rare = rows.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n").between(2, SMALL_BUCKET))
-    return _full_pairs(rows.join(rare, "key"))
+def _own_shingles(hot: DataFrame, shingles: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rep, alone), (rep, key): shingles that no other member of a large bucket has, counted, and
+    those that only a few members have."""
+    members = shingles.join(hot.select("rep").distinct(), "rep", "left_semi")
+    rows = members.select("rep", F.explode(F.array_distinct("shingles")).alias("key"))
+    counts = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("rep").alias("owner"))
+    counts = stored(counts.filter(F.col("n") <= SMALL_BUCKET), "rare-shingles")
+    alone = counts.filter("n = 1").groupBy(F.col("owner").alias("rep")).agg(F.count("*").alias("alone"))
+    return alone, rows.join(counts.filter("n > 1").select("key"), "key")
 
 
 def candidates(reps: DataFrame, shingles: DataFrame) -> DataFrame:
@@ -167,8 +170,8 @@ def candidates(reps: DataFrame, shingles: DataFrame) -> DataFrame:
 
     Buckets form by one entry; those larger than SMALL_BUCKET split by the entry after it, and so on.
     Sizes and leaders come from partial aggregates. The leaders are members with the largest sum of
-    bucket sizes over all entries, as the text that others are copies of shares entries with most of
-    them, and the shortest member, which is nearest to the others where all share one long passage.
+    bucket sizes over all entries and those with the fewest shingles of their own: the text that others
+    are versions of, or that is little but the passage they share, is near to most of them.
     """
     keys = F.transform(
         F.sequence(F.lit(0), F.lit(ENTRIES - 1)),
@@ -185,13 +188,17 @@ def candidates(reps: DataFrame, shingles: DataFrame) -> DataFrame:
     found = [_full_pairs(met.filter(F.col("n") <= SMALL_BUCKET))]
     hot = met.filter(F.col("n") > SMALL_BUCKET)
     central = hot.groupBy("rep").agg(F.sum("n").alias("central"))
-    hot = stored(hot.select("rep", "n_words", "keys").join(central, "rep"), "hot-buckets")
-    found.append(_sharing_rare_shingles(hot, shingles))
+    alone, few = _own_shingles(hot, shingles)
+    found.append(_full_pairs(few))
+    hot = hot.select("rep", "n_words", "keys").join(central, "rep").join(alone, "rep", "left")
+    hot = stored(hot.withColumn("shared", -F.coalesce("alone", F.lit(0))).drop("alone"), "hot-buckets")
     for level in range(LEVELS):
         hot = hot.withColumn("key", F.col("keys")[level])
         shortest = (-F.col("n_words")).alias("short")
         draw = [F.xxhash64("key", F.lit(i), "rep").alias("draw") for i in range(2)]
-        ranked = (("central", shortest, draw[0]), ("central", draw[0]), ("central", draw[1]), (shortest, draw[0]))
+        ranked = (
+            ("central", "shared", draw[0]), ("shared", "central", draw[0]), ("central", draw[1]), (shortest, draw[0]),
+        )
         leaders = F.array_distinct(F.array(*(F.max(F.struct(*by, "rep"))["rep"] for by in ranked)))
         sizes = hot.groupBy("key").agg(F.count("*").alias("n"), leaders.alias("leaders"))
         sized = stored(hot.join(sizes.filter("n > 1"), "key"), "hot-level")
