@@ -8,9 +8,11 @@ from waybill.operators.quality import QualityError
 from waybill.params import Params
 from waybill.plans import bi, charts, report
 from waybill.plans.job import run_pipeline
+from waybill.sources.extracts import read_json_as
 from waybill.sources.raw import require_inputs
+from waybill.sources.storage import shared_folder
 
-PARAMS = Params(min_seller_orders=1)
+PARAMS = Params(window_days=60, min_seller_orders=2)
 
 
 @pytest.fixture(scope="module")
@@ -29,89 +31,90 @@ def by(df, key, *columns):
             for r in df.collect()}
 
 
-def test_all_checks_pass(built):
-    report_rows = by(built["quality_checks"], "check_name", "failing_rows")
-    assert len(report_rows) == 10 and set(report_rows.values()) == {0}
+def test_report_of_a_sound_shop(built):
+    failing = by(built["quality_checks"], "check_name", "failing_rows")
+    assert len(failing) == 10 and not any(failing.values())
 
 
-def test_fact_holds_delivered_orders(built):
+def test_fact_is_what_was_delivered_against_a_promise(built):
     fact = built["fct_orders"]
-    ids = {r.order_id for r in fact.collect()}
-    assert ids == {"A1", "A2", "B1", "C1", "C2", "E1", "F2", "G1", "G2"}
+    assert sorted(r.order_id for r in fact.collect()) == [
+        "k01", "k02", "k03", "k05", "k06", "k07", "k09", "k10", "k11", "k13",
+    ]
     assert len(fact.columns) == 27 and fact.columns[3] == "order_month"
 
 
-def test_lateness_by_calendar_day(built):
-    got = by(built["fct_orders"], "order_id", "days_late", "is_late", "lateness_bucket")
-    assert got["A2"] == (0, False, "0 On time")  # nine hours past midnight of the promised day
-    assert got["B1"] == (5, True, "2 4-7 days late")
-    assert got["C2"] == (10, True, "3 8-14 days late")
-    assert got["A1"] == (-6, False, "0 On time")
+def test_days_and_bands_at_their_edges(built):
+    got = by(built["fct_orders"], "order_id", "delivery_days", "days_late", "is_late", "lateness_bucket")
+    assert got["k01"] == (2, 0, False, "0 On time")  # the last second of the promised day
+    assert got["k07"][1:] == (3, True, "1 1-3 days late")
+    assert got["k03"][1:] == (4, True, "2 4-7 days late")
+    assert got["k13"][1:] == (8, True, "3 8-14 days late")
+    assert got["k05"][1:] == (15, True, "4 15+ days late")
+    assert got["k09"][1:] == (-8, False, "0 On time")
 
 
-def test_reviews(built):
-    got = by(
-        built["fct_orders"], "order_id", "review_score", "is_negative_review", "has_comment"
-    )
-    assert got["A1"] == (5, False, True)  # one row, though its text has quotes and a line break
-    assert got["B1"] == (1, True, True)  # the later answer
-    assert got["C1"] == (3, False, False)  # blanks are no comment
-    assert got["G1"] == (4, False, False)  # same answer time: lowest review id
-    assert got["F2"] == (None, None, None)
-    message = built["stg_reviews"].count()
-    assert message == 5
+def test_one_review_per_order(built):
+    got = by(built["fct_orders"], "order_id", "review_score", "is_negative_review", "has_comment")
+    assert got["k01"] == (4, False, False)  # a non-breaking space says nothing
+    assert got["k03"] == (2, True, True)  # the later answer, over two lines with quotes
+    assert got["k05"] == (1, True, True)  # a tab is text
+    assert got["k07"] == (5, False, False)  # equal times: the lower review id
+    assert got["k13"] == (None, None, None)
+    assert built["stg_reviews"].count() == 5
 
 
-def test_lines_and_payments(built):
+def test_main_line_and_sums(built):
     got = by(
         built["fct_orders"], "order_id", "item_count", "seller_count", "item_value",
         "freight_value", "paid_value", "installments", "main_seller_id", "main_category",
     )
-    # South sold more in total, north has the dearest line.
-    assert got["A1"] == (3, 2, 200.0, 4.5, 75.5, 3, "north", "lighting")
-    assert got["B1"][4:6] == (None, None)
-    assert got["C1"][-1] == "vaso"  # no translation
-    assert got["G1"][-1] == "unknown"  # no category
+    # West sold more of it in all, east the dearest line.
+    assert got["k01"] == (3, 2, 140.0, 3.0, 10.25, 6, "east", "tapete")
+    assert got["k03"][-2:] == ("west", "unknown")  # equal prices: the lower line; no category
+    assert got["k05"][-1] == "tables"
+    assert got["k10"][-1] == "ferro"  # no translation
+    assert got["k13"][4:6] == (None, None)
 
 
 def test_weights_that_are_not_numbers_are_null(built):
     got = by(built["stg_products"], "product_id", "weight_g")
-    assert got == {"lamp": 1200.0, "book": 300.0, "vase": None, "unnamed": 10.0, "toy": None}
+    assert got == {"odd": 7.0, "desk": 12000.0, "rug": None, "pen": None, "ink": 5.5, "lamp": 800.0}
 
 
 def test_distance(built):
     got = by(built["fct_orders"], "order_id", "distance_km", "same_state")
-    assert got["A2"] == (0.0, True)
-    assert got["A1"][0] == pytest.approx(1123.1, abs=1)  # about 10.1 degrees to the south
-    assert got["A1"][1] is False
-    assert got["E1"][0] is None
+    assert got["k03"] == (pytest.approx(0.0, abs=1e-6), True)
+    assert got["k06"] == (pytest.approx(222.4, abs=0.1), False)  # two degrees to the south
+    assert got["k09"] == (None, True)  # all points of the zip lie outside the box
     bands = by(built["mart_distance"], "distance_band", "orders")
-    assert bands["9 Unknown"] == 1 and sum(bands.values()) == 9
+    assert bands["9 Unknown"] == 6 and sum(bands.values()) == 10
 
 
-def test_customer_sequence(built):
+def test_sequence_skips_what_was_never_sold(built):
     got = by(built["customer_orders"], "order_id", "order_seq", "next_purchased_at")
-    assert "D1" not in got
-    assert [got[o][0] for o in ("C1", "C2", "C3")] == [1, 2, 3]
-    assert str(got["C1"][1]) == "2021-03-05 10:00:00"
-    assert got["C3"][1] is None
+    assert not {"k08", "k14"} & got.keys()
+    assert [got[o][0] for o in ("k05", "k06", "k07", "k09")] == [1, 2, 3, 1]
+    assert str(got["k05"][1]) == "2022-05-01 10:00:00" and got["k07"][1] is None
     assert built["customer_orders"].columns == [
         "customer_unique_id", "order_id", "purchased_at", "order_seq", "next_purchased_at",
     ]
 
 
-def test_repeat_window(built):
+def test_who_came_back(built):
     cohort = built["first_order_retention"]
     got = by(
         cohort, "customer_unique_id", "order_id", "days_to_next_order", "repeat_in_window",
         "is_mature",
     )
     assert got == {
-        "ana": ("A1", 31, True, True),
-        "bia": ("B1", None, False, True),
-        "caio": ("C1", 181, False, True),
-        "eva": ("E1", None, False, False),
-        "gil": ("G1", 180, True, True),
+        "olga": ("k01", 60, True, True),
+        "pim": ("k03", 61, False, True),
+        "quinn": ("k05", 12, True, True),
+        "sven": ("k09", None, False, True),
+        "ulf": ("k10", None, False, True),
+        "vera": ("k11", None, False, False),
+        "yara": ("k13", None, False, True),
     }
     assert cohort.columns[27:] == [
         "next_order_at", "days_to_next_order", "repeat_in_window", "is_mature",
@@ -124,88 +127,137 @@ def test_maturity_boundary_is_exact(spark, ts):
     from waybill.operators.retention import first_event_retention
 
     sequence = spark.createDataFrame(
-        [(f"o{i}", 1, ts("2020-01-01 00:00"), None) for i in range(2)],
-        "first_event string, event_seq bigint, at timestamp_ntz, next_ts timestamp_ntz",
+        [(f"p{i}", f"o{i}", 1, ts("2020-01-01 00:00"), None) for i in range(2)],
+        "person string, first_event string, event_seq bigint, at timestamp_ntz, next_ts timestamp_ntz",
     )
     outcomes = spark.createDataFrame(
         [("o0", ts("2020-06-01 10:00:00")), ("o1", ts("2020-06-01 10:00:01"))],
         "order_id string, delivered_at timestamp_ntz",
     )
     got = first_event_retention(
-        sequence, outcomes, ts="at", outcome_event="order_id", outcome_ts="delivered_at",
+        sequence, outcomes, entity="person", ts="at", outcome_event="order_id", outcome_ts="delivered_at",
         data_end=F.lit(ts("2020-06-11 10:00:00")), window_days=10,
     )
     assert by(got, "order_id", "is_mature") == {"o0": True, "o1": False}
 
 
 def test_marts(built):
-    split = by(built["mart_retention_late_vs_ontime"], "first_delivery", "customers",
-               "repeat_customers")
-    assert split == {"On time": (3, 2), "Late": (1, 0)}
-    late = by(built["mart_lateness"], "lateness_bucket", "orders", "share_of_orders",
-              "mature_first_orders")
+    split = by(built["mart_retention_late_vs_ontime"], "first_delivery", "customers", "repeat_customers")
+    assert split == {"On time": (3, 1), "Late": (3, 1)}
+    late = by(built["mart_lateness"], "lateness_bucket", "orders", "share_of_orders", "mature_first_orders")
     assert late == {
-        "0 On time": (3, 0.6, 3),
+        "0 On time": (2, 0.4, 3),
+        "1 1-3 days late": (1, 0.2, None),  # reviewed, but nobody's first order
         "2 4-7 days late": (1, 0.2, 1),
-        "3 8-14 days late": (1, 0.2, None),  # reviewed, but nobody's first order
+        "4 15+ days late": (1, 0.2, 1),
     }
     sellers = by(built["mart_seller"], "seller_id", "orders", "late_orders",
                  "share_of_all_late_orders", "late_rate_decile")
-    assert sellers == {"north": (6, 1, 0.5, 2), "south": (3, 1, 0.5, 1)}
+    assert sellers == {"west": (5, 3, 0.75, 1), "east": (4, 1, 0.25, 2)}
     states = by(built["mart_state"], "customer_state", "orders", "late_rank")
-    assert states == {"SS": (5, 2), "NN": (3, 1), "EE": (1, 3)}
+    assert states == {"WW": (5, 1), "SS": (2, 2), "EE": (3, 3)}
 
 
 def test_report_and_charts(built):
     totals = report.report_totals(built["fct_orders"]).first()
-    assert (totals.orders, totals.customers, totals.sellers) == (9, 6, 2)
-    assert totals.late_rate == pytest.approx(2 / 9)
+    assert (totals.orders, totals.customers, totals.sellers) == (10, 7, 3)
+    assert totals.late_rate == pytest.approx(0.4)
     headline = report.report_headline(built["mart_late_vs_ontime"]).first()
-    assert headline.late_negative_review_rate == 1.0
+    assert headline.late_negative_review_rate == pytest.approx(2 / 3)
     assert headline.negative_review_ratio is None  # no negative review on time
     overall = charts.overall_late_rate(built["mart_state"]).first()
-    assert overall.late_rate == pytest.approx(2 / 9)
-    levels = by(charts.chart_states(built["mart_state"], 1), "customer_state", "level")
-    assert levels == {"SS": "high", "NN": "high", "EE": "normal"}
-    ends = report.report_decile_ends(report.report_seller_deciles(built["mart_seller"])).first()
-    assert (ends.sellers, ends.worst_late_rate) == (2, pytest.approx(1 / 3))
+    assert overall.late_rate == pytest.approx(0.4)
+    states = charts.chart_states(built["mart_state"], 1).collect()
+    assert [(r.customer_state, r.level) for r in states] == [("EE", "normal"), ("SS", "high"), ("WW", "high")]
+    deciles = report.report_seller_deciles(built["mart_seller"])
+    assert [r.late_rate_decile for r in deciles.collect()] == [1, 2]
+    ends = report.report_decile_ends(deciles).first()
+    assert (ends.sellers, ends.worst_late_rate, ends.best_late_rate) == (2, 0.6, 0.25)
 
 
 def test_dashboard_filters(built):
     import datetime as dt
 
     kpis = bi.bi_kpis(
-        built["fct_orders"], months=(dt.date(2021, 1, 1), dt.date(2021, 2, 1)), states=["SS"]
+        built["fct_orders"], months=(dt.date(2022, 2, 1), dt.date(2022, 5, 1)), states=["WW"]
     )
     row = kpis.first()
-    assert (row.orders, row.late_orders, row.late_rate) == (3, 0, 0.0)
+    assert (row.orders, row.late_orders, row.late_rate) == (3, 2, pytest.approx(2 / 3))
     # The month range reads only its own folders of the stored fact.
     assert "PartitionFilters: [isnotnull(order_month" in kpis._jdf.queryExecution().toString()
-    assert [r.seller_id for r in bi.top_sellers(built["mart_seller"], 1).collect()] == ["north"]
+    assert [r.seller_id for r in bi.top_sellers(built["mart_seller"], 1).collect()] == ["west"]
+
+
+def csv_rows(folder):
+    lines = [line for part in sorted(folder.glob("part-*")) for line in part.read_text().splitlines()]
+    return [line.split(",") for line in lines if not line.startswith(lines[0].split(",")[0] + ",")]
+
+
+def test_extracts(spark, out):
+    # Name and the order of its rows by one column; the orders have none.
+    order = {
+        "orders": None, "lateness": (0, False), "state": ("late_rank", False), "seller": ("late_orders", True),
+        "monthly": (0, False), "distance": (0, False), "late_vs_ontime": (0, True),
+        "retention_late_vs_ontime": (0, True),
+    }
+    assert {p.name for p in (out / "extracts").iterdir()} == {f"{name}.csv" for name in order}
+    for name, by_column in order.items():
+        if by_column:
+            path = out / "extracts" / f"{name}.csv"
+            columns = spark.read.csv(str(path), header=True).columns
+            at = by_column[0] if isinstance(by_column[0], int) else columns.index(by_column[0])
+            keys = [row[at] for row in csv_rows(path)]
+            assert len(keys) > 1 and keys == sorted(keys, reverse=by_column[1]), name
+    orders = spark.read.csv(str(out / "extracts" / "orders.csv"), header=True)
+    assert "customer_unique_id" not in orders.columns and orders.count() == 10
+    assert by(orders, "order_id", "purchased_at")["k01"] == "2022-01-10 23:00:00"
 
 
-def test_outputs(spark, built, out):
-    extracts = {p.name for p in (out / "extracts").iterdir()}
-    assert extracts == {
-        "orders.csv", "lateness.csv", "state.csv", "seller.csv", "monthly.csv", "distance.csv",
-        "late_vs_ontime.csv", "retention_late_vs_ontime.csv",
-    }
-    orders = spark.read.csv(str(out / "extracts" / "orders.csv"), header=True)
-    assert "customer_unique_id" not in orders.columns and orders.count() == 9
-    assert by(orders, "order_id", "purchased_at")["A1"] == "2021-01-04 08:30:00"
-    months = [
-        line.split(",")[0]
-        for part in (out / "extracts" / "monthly.csv").glob("part-*")
-        for line in part.read_text().splitlines()[1:]
-    ]
-    assert months == sorted(months) and months[0] == "2021-01-01"
+def test_statistic_reads_back(spark, built, out):
+    again = read_json_as(spark, str(out / "retention_test.json"), built["retention_test"]).collect()
+    assert again == built["retention_test"].collect() and again[0].on_time_repeat == 1
     (statistic,) = (out / "retention_test.json").glob("part-*")
-    assert json.loads(statistic.read_text())["on_time_repeat"] == 2
+    assert json.loads(statistic.read_text())["late_customers"] == 3
+
+
+def test_summary_reads_in_full(out):
     (summary,) = (out / "summary.txt").glob("part-*")
     lines = summary.read_text().splitlines()
-    assert lines[0].startswith("9 delivered orders, 6 customers, 2 sellers, Jan 2021 to Oct 2021")
-    assert any("2 of 3 (66.67%) / 0 of 1 (0.00%)" in line for line in lines)
-    assert any(line.startswith("Lateness 4-7 days late: 1 reviewed") for line in lines)
+    assert lines[0] == "10 delivered orders, 7 customers, 3 sellers, Jan 2022 to Sep 2022; late: 40.0%"
+    assert lines[1] == (
+        "Reviews, late / on time: average 2.67 / 3.50, 1-2 stars 67% / 0% (unknownx), 5 stars 33% / 0%"
+    )
+    assert lines[2:6] == [
+        "Lateness On time: 2 reviewed orders, average review 3.50, 0% negative",
+        "Lateness 1-3 days late: 1 reviewed orders, average review 5.00, 0% negative",
+        "Lateness 4-7 days late: 1 reviewed orders, average review 2.00, 100% negative",
+        "Lateness 15+ days late: 1 reviewed orders, average review 1.00, 100% negative",
+    ]
+    assert lines[6].startswith(
+        "Came back within 60 days, on time / late: 1 of 3 (33.33%) / 1 of 3 (33.33%), relative gap 0%,"
+    )
+    # No state and no month is large enough to be named.
+    assert [line.split(":")[0] for line in lines[7:-1]] == ["Distance <100 km", "Distance 100-499 km"]
+    assert lines[-1] == (
+        "2 sellers with at least 2 orders; worst tenth 60.0% late, average review 1.50;"
+        " best tenth 25.0% late, average review 4.00"
+    )
+
+
+def test_nothing_is_left_in_the_shared_folder(spark, tmp_path):
+    folder = Path(shared_folder(spark))
+    before = set(folder.iterdir()) if folder.exists() else set()
+    run_pipeline(spark, marketplace.write(tmp_path / "zone"), str(tmp_path / "out"), PARAMS)
+    assert set(folder.iterdir()) == before
+
+
+def test_two_vendors_are_not_merged(spark, tmp_path):
+    marketplace.write(tmp_path / "zone")
+    marketplace.write(tmp_path / "other", prefix="old_")
+    for file in (tmp_path / "other").glob("old_*"):
+        (tmp_path / "zone" / file.name).write_bytes(file.read_bytes())
+    with pytest.raises(ValueError, match="old_orders_dataset.csv.*shop_orders_dataset.csv"):
+        require_inputs(spark, str(tmp_path / "zone"))
 
 
 def test_missing_inputs_are_all_named(spark, tmp_path):
@@ -232,23 +284,23 @@ def test_each_failing_check_is_reported_before_the_job_stops(spark, tmp_path):
     items = rows["order_items_dataset.csv"]
     raw = marketplace.write(
         tmp_path / "zone",
-        # A second copy of A2, a delivery before its purchase, an order nobody placed.
+        # A second copy of k02, a delivery before its purchase, an order nobody placed.
         orders_dataset=[
             *rows["orders_dataset.csv"],
-            *[o for o in rows["orders_dataset.csv"] if o[0] == "A2"],
-            ("X1", "c-A1", "delivered", "2021-05-05 00:00:00", None, None,
-             "2021-05-01 00:00:00", "2021-05-09 00:00:00"),
-            ("X2", "nobody", "delivered", "2021-05-05 00:00:00", None, None,
-             "2021-05-06 00:00:00", "2021-05-09 00:00:00"),
+            *[o for o in rows["orders_dataset.csv"] if o[0] == "k02"],
+            ("X1", "of-k01", "delivered", "2022-05-05 00:00:00", None, None,
+             "2022-05-01 00:00:00", "2022-05-09 00:00:00"),
+            ("X2", "nobody", "delivered", "2022-05-05 00:00:00", None, None,
+             "2022-05-06 00:00:00", "2022-05-09 00:00:00"),
         ],
         order_items_dataset=[
             *items,
-            ("X1", 1, "lamp", "north", "", 10, 1.5),
+            ("X1", 1, "lamp", "east", "", 10, 1.5),
             ("X2", 1, "nothing", "nobody", "", -1, 1.5),
         ],
         order_reviews_dataset=[
             *rows["order_reviews_dataset.csv"],
-            ("r9", "A2", "6", "", "", "2021-01-01 00:00:00", "2021-03-01 00:00:00"),
+            ("v9", "k02", "6", "", "", "2022-01-01 00:00:00", "2022-03-18 00:00:00"),
         ],
     )
     with pytest.raises(QualityError):

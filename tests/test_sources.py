@@ -86,3 +86,23 @@ def test_scratch_tables_live_in_the_folder_the_session_names(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
     stored = scratch_table(spark.range(3), "r")
     assert stored.inputFiles()[0].startswith(f"file://{shared_folder(spark)}/r-")
+
+
+@pytest.mark.parametrize(
+    "second, stops",
+    [("b,a\n1,2\n", True), ("a,b\n1\n", True), ("a,b\n1,2,3\n", True), ("a,b\n1,\n", False)],
+    ids=["other header", "short row", "long row", "empty field"],
+)
+def test_part_files_must_agree(spark, tmp_path, second, stops):
+    folder = tmp_path / "orders_dataset.csv"
+    folder.mkdir()
+    (folder / "part-1.csv").write_text("a,b\nx,y\n")
+    (folder / "part-2.csv").write_text(second)
+    read = read_raw(spark, str(folder))
+    if stops:
+        # Also when only one column is asked for.
+        for frame in (read, read.select("b")):
+            with pytest.raises(Exception):
+                frame.collect()
+    else:
+        assert sorted(map(str, read.collect())) == ["Row(a='1', b=None)", "Row(a='x', b='y')"]

@@ -431,13 +431,15 @@ def statements() -> dict[str, str]:
                FROM orders GROUP BY label""",
         ),
         "number_format": shaped(
-            "o_orderpriority:s orders:s highest_price:s finished:s",
+            "o_orderpriority:s o_orderstatus:s orders:s highest_price:s dear:s",
             "",
-            """SELECT o_orderpriority, format('{:,}', COUNT(*)) AS orders,
-                      format('{:.1f}', round(MAX(o_totalprice), 1)) AS highest_price,
-                      format('{:.1f}%', round(100.0 * COUNT(*) FILTER (WHERE o_orderstatus = 'F')
-                                              / COUNT(*), 1)) AS finished
-               FROM orders GROUP BY o_orderpriority""",
+            """SELECT o_orderpriority, o_orderstatus, format('{:,}', COUNT(*)) AS orders,
+                      CASE WHEN o_orderstatus = 'F'
+                           THEN format('{:.1f}', round(MAX(o_totalprice), 1)) END AS highest_price,
+                      CASE WHEN o_orderstatus = 'F'
+                           THEN format('{:.1f}%', round(100.0 * COUNT(*) FILTER
+                                (WHERE o_totalprice > 100000) / COUNT(*), 1)) END AS dear
+               FROM orders GROUP BY o_orderpriority, o_orderstatus""",
         ),
         "zip_geo": shaped(
             "geolocation_zip_code_prefix:s lat:r lng:r",
@@ -515,7 +517,16 @@ def statements() -> dict[str, str]:
         ),
         "main_line": shaped("order_id:n seller_id:n product_id:n price:r", "top_line", "FROM top_line"),
         "customer_orders": shaped(_SEQUENCE_COLUMNS, "seq", _SEQUENCE),
-        "customer_orders_hot": shaped(_SEQUENCE_COLUMNS, "seq", _SEQUENCE),
+        "customer_orders_hot": shaped(
+            "person:n o_orderkey:n ordered_at:t event_seq:n next_ts:t first_event:n",
+            "",
+            """SELECT person, o_orderkey, ordered_at, ROW_NUMBER() OVER line AS event_seq,
+                      LEAD(ordered_at) OVER line AS next_ts,
+                      FIRST_VALUE(o_orderkey) OVER line AS first_event
+               FROM (SELECT CASE WHEN o_orderkey % 3 <> 0 THEN 0 ELSE o_custkey END AS person,
+                            o_orderkey, o_orderdate::TIMESTAMP AS ordered_at FROM orders) AS o
+               WINDOW line AS (PARTITION BY person ORDER BY ordered_at, o_orderkey)""",
+        ),
         "share_of_total": shaped(
             "l_suppkey:n quantity:r share:r",
             "",

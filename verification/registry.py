@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from verification import derive
 from waybill.functions import bands, geo, measures, text, timing
 from waybill.operators import proportions, quality, ranking, shares
-from waybill.operators.dedupe import first_per_key
+from waybill.operators.sequence import sequence_events
 from waybill.params import COUNTRY_BOX, Params
 from waybill.plans import bi, charts, facts, job, marts, report
 from waybill.sources import extracts, raw, staging
@@ -66,15 +66,15 @@ def _fact(spark, sf) -> DataFrame:
     return facts.build_fct_orders(derive.typed(spark, sf))
 
 
-def _sequence(spark, sf, params=PARAMS) -> DataFrame:
-    return facts.customer_sequence(derive.typed(spark, sf), params)
+def _sequence(spark, sf) -> DataFrame:
+    return facts.customer_sequence(derive.typed(spark, sf))
 
 
 def _retention(spark, sf, params=PARAMS, fact=None) -> DataFrame:
     """`fact` is a stored fact when the caller needs one for itself as well."""
     t = derive.typed(spark, sf)
     return facts.first_order_retention(
-        facts.customer_sequence(t, params),
+        facts.customer_sequence(t),
         facts.build_fct_orders(t) if fact is None else fact,
         t["stg_orders"],
         params,
@@ -221,11 +221,12 @@ def month_label(spark, sf):
 @query
 def number_format(spark, sf):
     orders = derive.load(spark, sf, "orders")
-    dearest = F.max("o_totalprice")
-    return orders.groupBy("o_orderpriority").agg(
+    # Only finished orders have figures: groups without any show how NULL is formatted.
+    price = F.when(F.col("o_orderstatus") == "F", F.col("o_totalprice"))
+    return orders.groupBy("o_orderpriority", "o_orderstatus").agg(
         text.thousands(measures.row_count()).alias("orders"),
-        text.fixed(dearest, 1).alias("highest_price"),
-        text.percent(measures.rate(F.col("o_orderstatus") == "F"), 1).alias("finished"),
+        text.fixed(F.max(price), 1).alias("highest_price"),
+        text.percent(F.avg((price > 100000).cast("double")), 1).alias("dear"),
     )
 
 
@@ -338,14 +339,8 @@ def dedupe_latest(spark, sf):
 
 @query
 def main_line(spark, sf):
-    items = derive.typed(spark, sf)["stg_order_items"]
-    dearest_first = [
-        F.col("price").desc_nulls_last(),
-        F.col("order_item_id").asc_nulls_last(),
-        F.col("product_id").desc_nulls_last(),
-        F.col("seller_id").desc_nulls_last(),
-    ]
-    return first_per_key(items, ["order_id"], dearest_first).select(
+    """The line that the fact takes for an order's seller and product."""
+    return facts.main_lines(derive.typed(spark, sf)["stg_order_items"]).select(
         "order_id", "seller_id", "product_id", "price"
     )
 
@@ -357,8 +352,13 @@ def customer_orders(spark, sf):
 
 @query
 def customer_orders_hot(spark, sf):
-    """The same table with every person of more than 12 orders taken as hot, up to the list."""
-    return facts.customer_orders(_sequence(spark, sf, Params(hot_entity_rows=12)))
+    """The same sequence with two thirds of all orders placed by one person."""
+    orders = derive.load(spark, sf, "orders").select(
+        F.when(F.col("o_orderkey") % 3 != 0, 0).otherwise(F.col("o_custkey")).alias("person"),
+        "o_orderkey",
+        F.col("o_orderdate").cast("timestamp_ntz").alias("ordered_at"),
+    )
+    return sequence_events(orders, "person", "o_orderkey", "ordered_at")
 
 
 @query

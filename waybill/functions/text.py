@@ -37,7 +37,8 @@ def thousands(value: Column) -> Column:
 
 
 def fixed(value: Column, places: int) -> Column:
-    return F.format_string(f"%.{places}f", value.cast("double"))
+    """NULL stays NULL; formatting alone would cut a piece out of the word `null`."""
+    return F.when(value.isNotNull(), F.format_string(f"%.{places}f", value.cast("double")))
 
 
 def percent(share: Column, places: int = 0) -> Column:

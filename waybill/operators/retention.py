@@ -12,6 +12,7 @@ def first_event_retention(
     sequence: DataFrame,
     outcomes: DataFrame,
     *,
+    entity: str,
     ts: str,
     outcome_event: str,
     outcome_ts: str,
@@ -24,34 +25,31 @@ def first_event_retention(
     (`outcome_event`, `outcome_ts`, any further columns). Adds to `outcomes`: next_order_at,
     days_to_next_order, repeat_in_window, is_mature.
 
-    In an entity's time line the next event after the outcome follows exactly one row: the last
-    one that is either the first event or not later than the outcome. So a single join that keeps
-    only that row answers the question; entities that never came back keep it too, with no next
-    event. All rows of an entity join one outcome row, and as an inner join Spark can split the
-    side of an entity with very many events.
+    The next event is the earliest later one with a time after the outcome. Only event and time of
+    the outcomes meet the sequence; the result is one row per entity, combined before its shuffle,
+    and the wide outcomes are joined to that. Events without an entity are different unknown
+    entities, of which none is known to have come back.
     """
-    outcome_at = F.col(outcome_ts)
-    next_is_after = F.col("next_ts").isNull() | (F.col("next_ts") > outcome_at)
-    # Own names on the sequence side, so outcome columns can be picked without clashes.
+    # Own names on both sides, so outcome columns can be picked without clashes.
     steps = sequence.select(
         F.col("first_event").alias("_first_event"),
-        "event_seq",
-        F.col(ts).alias("_event_ts"),
-        "next_ts",
+        F.when(F.col(entity).isNotNull() & (F.col("event_seq") > 1), F.col(ts)).alias("_later_ts"),
+    )
+    narrow = outcomes.select(
+        F.col(outcome_event).alias("_first_event"), F.col(outcome_ts).alias("_outcome_ts")
     )
-    up_to_outcome = (F.col("event_seq") == 1) | (F.col("_event_ts") <= outcome_at)
-    days = days_between(outcome_at, F.col("next_ts"))
-    return (
-        steps.join(
-            outcomes,
-            (F.col("_first_event") == F.col(outcome_event)) & up_to_outcome & next_is_after,
-            "inner",
-        )
-        .select(
-            *outcomes.columns,
-            F.col("next_ts").alias("next_order_at"),
-            days.alias("days_to_next_order"),
-            F.coalesce(days <= window_days, F.lit(False)).alias("repeat_in_window"),
-            (outcome_at <= days_before(data_end, window_days)).alias("is_mature"),
-        )
+    after = F.when(F.col("_later_ts") > F.col("_outcome_ts"), F.col("_later_ts"))
+    following = (
+        steps.join(narrow, "_first_event")
+        .groupBy("_first_event")
+        .agg(F.min(after).alias("next_order_at"))
+    )
+    outcome_at = F.col(outcome_ts)
+    days = days_between(outcome_at, F.col("next_order_at"))
+    return outcomes.join(following, F.col(outcome_event) == F.col("_first_event")).select(
+        *outcomes.columns,
+        "next_order_at",
+        days.alias("days_to_next_order"),
+        F.coalesce(days <= window_days, F.lit(False)).alias("repeat_in_window"),
+        (outcome_at <= days_before(data_end, window_days)).alias("is_mature"),
     )

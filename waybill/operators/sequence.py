@@ -6,88 +6,45 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from waybill.operators.ranking import with_global_index
-from waybill.params import HOT_ENTITY_ROWS
-from waybill.sources.storage import scratch_table
+# Events without a time come after all days.
+NO_DAY = "9999-12-31"
+_KEYS = ("_known", "_entity", "_day")
 
-# The list of hot entities sent to every task never has more rows than this. An entity beyond
-# it holds less than a thousandth of all rows, which one window task can sort and spill.
-HOT_LIST_ROWS = 1000
 
+def sequence_events(events: DataFrame, entity: str, event: str, ts: str) -> DataFrame:
+    """Adds `event_seq`, `next_ts` and `first_event` per entity, ordered by (`ts`, `event`).
 
-def _by_window(events: DataFrame, entity: str, event: str, ts: str) -> DataFrame:
-    """All three columns from one shuffle and one sort."""
-    line = W.partitionBy(entity).orderBy(F.col(ts).asc_nulls_last(), F.col(event).asc_nulls_last())
-    return events.select(
-        "*",
-        F.row_number().over(line).cast("bigint").alias("event_seq"),
-        F.lead(ts).over(line).alias("next_ts"),
-        F.first(event).over(line).alias("first_event"),
-    )
-
-
-def _by_index(events: DataFrame, entity: str, event: str, ts: str) -> DataFrame:
-    """The same columns from a global order, where one entity may span many tasks.
-
-    For a few entities only: their first positions are broadcast.
+    Events are numbered within an entity's calendar day, and the entity's days, one row each, within
+    the entity. So an entity with most of the events is spread over as many tasks as it has days, and
+    the window over a whole entity sees at most a row per day. Entities that are NULL form one line.
     """
-    order = [F.col(c).asc_nulls_last() for c in (entity, ts, event)]
-    line = with_global_index(events, order, "_at").alias("line")
-    starts = (
-        line.groupBy(F.col(entity).alias("_entity"))
-        .agg(F.min("_at").alias("_start"), F.min_by(event, "_at").alias("first_event"))
-        .alias("starts")
+    keyed = events.withColumns(
+        {
+            "_known": F.col(entity).isNotNull(),
+            "_entity": F.coalesce(F.col(entity).cast("string"), F.lit("")),
+            "_day": F.coalesce(F.col(ts).cast("date"), F.lit(NO_DAY).cast("date")),
+        }
     )
-    following = line.select(
-        (F.col("_at") - 1).alias("_before"),
-        F.col(entity).alias("_next_entity"),
-        F.col(ts).alias("next_ts"),
+    day = W.partitionBy(*_KEYS)
+    in_time = day.orderBy(F.col(ts).asc_nulls_last(), F.col(event).asc_nulls_last())
+    in_day = keyed.select(
+        "*",
+        F.row_number().over(in_time).cast("bigint").alias("_place"),
+        F.lead(ts).over(in_time).alias("_next"),
+        F.count(F.lit(1)).over(day).alias("_events"),
     )
-    same_entity = F.col(f"line.{entity}").eqNullSafe(F.col("_next_entity"))
-    return (
-        line.join(following, (F.col("line._at") == F.col("_before")) & same_entity, "left")
-        .join(F.broadcast(starts), F.col(f"line.{entity}").eqNullSafe(F.col("_entity")))
-        .select(
-            *[F.col(f"line.{c}") for c in events.columns],
-            (F.col("line._at") - F.col("_start") + 1).alias("event_seq"),
-            "next_ts",
-            "first_event",
-        )
+    line = W.partitionBy("_known", "_entity").orderBy("_day")
+    days = in_day.filter("_place = 1").select(
+        *_KEYS,
+        F.coalesce(
+            F.sum("_events").over(line.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)
+        ).alias("_before"),
+        F.lead(ts).over(line).alias("_next_day"),
+        F.first(event).over(line).alias("first_event"),
+    )
+    return in_day.join(days, list(_KEYS)).select(
+        *events.columns,
+        (F.col("_before") + F.col("_place")).alias("event_seq"),
+        F.coalesce("_next", "_next_day").alias("next_ts"),
+        "first_event",
     )
-
-
-def hot_entities(events: DataFrame, entity: str, hot_rows: int) -> list:
-    """Up to HOT_LIST_ROWS entities with more than `hot_rows` events, largest first."""
-    sizes = events.groupBy(entity).agg(F.count(F.lit(1)).alias("_rows"))
-    largest = sizes.filter(F.col("_rows") > hot_rows).orderBy(F.desc("_rows")).limit(HOT_LIST_ROWS)
-    return [(row[0],) for row in largest.select(entity).collect()]
-
-
-def sequence_events(
-    events: DataFrame,
-    entity: str,
-    event: str,
-    ts: str,
-    *,
-    hot_rows: int = HOT_ENTITY_ROWS,
-    at_most: int | None = None,
-) -> DataFrame:
-    """Adds `event_seq`, `next_ts` and `first_event` per entity, ordered by (`ts`, `event`).
-
-    Entities go through one window. Entities with more than `hot_rows` events are looked for
-    first and numbered from a range-partitioned order instead; both ways are exact. `at_most` is
-    a known upper bound on the rows of `events`: when even that is no more than `hot_rows`, no
-    entity can be hot and the search is skipped.
-    """
-    if at_most is not None and at_most <= hot_rows:
-        return _by_window(events, entity, event, ts)
-    stored = scratch_table(events, "events")
-    hot = hot_entities(stored, entity, hot_rows)
-    if not hot:
-        return _by_window(stored, entity, event, ts)
-    hot_type = stored.select(F.col(entity).alias("_hot")).schema
-    hot_list = F.broadcast(stored.sparkSession.createDataFrame(hot, hot_type))
-    is_hot = stored[entity].eqNullSafe(hot_list["_hot"])
-    usual = stored.join(hot_list, is_hot, "left_anti")
-    busy = stored.join(hot_list, is_hot, "left_semi")
-    return _by_window(usual, entity, event, ts).unionByName(_by_index(busy, entity, event, ts))

@@ -21,14 +21,9 @@ REPEAT_WINDOW_DAYS = 180
 MIN_SELLER_ORDERS = 30
 COUNTRY_BOX = Box(south=-34.0, north=6.0, west=-74.0, east=-34.0)
 
-# A single person with more orders than this is sequenced by the range-partitioned path
-# instead of by one window task.
-HOT_ENTITY_ROWS = 1_000_000
-
 
 @dataclass(frozen=True)
 class Params:
     window_days: int = REPEAT_WINDOW_DAYS
     min_seller_orders: int = MIN_SELLER_ORDERS
     box: Box = COUNTRY_BOX
-    hot_entity_rows: int = HOT_ENTITY_ROWS

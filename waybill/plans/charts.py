@@ -59,8 +59,10 @@ def overall_late_rate(mart: DataFrame) -> DataFrame:
 
 
 def chart_states(mart_state: DataFrame, min_orders: int = MIN_STATE_ORDERS) -> DataFrame:
+    """States for a bar chart, the lowest late rate first."""
     rate = F.col("late_rate")
-    return states_by_late_rate(mart_state, min_orders).select(
+    states = states_by_late_rate(mart_state, min_orders)
+    return states.orderBy(rate.asc_nulls_first(), F.col("customer_state").asc_nulls_first()).select(
         "customer_state",
         (rate * 100.0).alias("late_pct"),
         "avg_distance_km",

@@ -11,6 +11,7 @@ from waybill.functions.bands import lateness_bucket
 from waybill.functions.geo import haversine_km
 from waybill.functions.measures import row_count
 from waybill.functions.timing import days_between, month_of
+from waybill.operators.dedupe import first_per_key
 from waybill.operators.retention import first_event_retention
 from waybill.operators.sequence import sequence_events
 from waybill.params import Params
@@ -25,30 +26,54 @@ NOT_AN_ORDER = ("canceled", "unavailable")
 def order_lines(items: DataFrame) -> DataFrame:
     """Per order: line count, distinct sellers, value, freight, and the main line's keys.
 
-    The main line is the single line with the highest price, ties going to the lowest line
-    number. Taken as a maximum it shares a pass with the sums and, like them, is combined before
-    the shuffle, so an order with very many lines does not land on one task. Distinct sellers are
-    counted apart: together, Spark would carry everything through the extra step that takes. Both
-    results are partitioned by order, and as a left join the count drops out where it is not used.
+    Sums go by order and seller first, so that sellers are counted from the same pass without
+    expanding the rows. The main line is a pass of its own, with a limit of one row per order on
+    both sides of its shuffle; as a left join it drops out where it is not used.
     """
-    # The largest struct has the highest price, then the lowest line number. NULL is smallest,
-    # so it comes last. The keys settle lines that are equal in both.
-    line = (-F.col("order_item_id").cast("bigint")).alias("line")
-    totals = items.groupBy("order_id").agg(
-        row_count().alias("item_count"),
-        F.sum("price").alias("item_value"),
-        F.sum("freight").alias("freight_value"),
-        F.max(F.struct("price", line, "product_id", "seller_id")).alias("main"),
+    main = main_lines(items).select(
+        "order_id",
+        F.col("seller_id").alias("main_seller_id"),
+        F.col("product_id").alias("main_product_id"),
     )
-    sellers = items.groupBy("order_id").agg(F.countDistinct("seller_id").alias("seller_count"))
-    return totals.join(sellers, "order_id", "left").select(
+    return order_totals(items).join(main, "order_id", "left").select(
         "order_id",
         "item_count",
         "seller_count",
         "item_value",
         "freight_value",
-        F.col("main.seller_id").alias("main_seller_id"),
-        F.col("main.product_id").alias("main_product_id"),
+        "main_seller_id",
+        "main_product_id",
+    )
+
+
+def order_totals(items: DataFrame) -> DataFrame:
+    by_seller = items.groupBy("order_id", "seller_id").agg(
+        row_count().alias("lines"),
+        F.sum("price").alias("value"),
+        F.sum("freight").alias("freight"),
+    )
+    return by_seller.groupBy("order_id").agg(
+        F.sum("lines").alias("item_count"),
+        F.count("seller_id").alias("seller_count"),
+        F.sum("value").alias("item_value"),
+        F.sum("freight").alias("freight_value"),
+    )
+
+
+def main_lines(items: DataFrame) -> DataFrame:
+    """The line with the highest price of each order, ties going to the lowest line number.
+
+    Lines equal in both are settled by their keys.
+    """
+    return first_per_key(
+        items,
+        ["order_id"],
+        [
+            F.col("price").desc_nulls_last(),
+            F.col("order_item_id").asc_nulls_last(),
+            F.col("product_id").desc_nulls_last(),
+            F.col("seller_id").desc_nulls_last(),
+        ],
     )
 
 
@@ -147,7 +172,7 @@ def build_fct_orders(t: Tables) -> DataFrame:
     )
 
 
-def customer_sequence(t: Tables, params: Params = Params()) -> DataFrame:
+def customer_sequence(t: Tables) -> DataFrame:
     """Every order of a person in time, canceled and unavailable ones left out."""
     orders = t["stg_orders"]
     people = t["stg_customers"].select("customer_id", "customer_unique_id")
@@ -160,9 +185,6 @@ def customer_sequence(t: Tables, params: Params = Params()) -> DataFrame:
         "customer_unique_id",
         "order_id",
         "purchased_at",
-        hot_rows=params.hot_entity_rows,
-        # A row count of a stored table comes from its file footers.
-        at_most=orders.count(),
     )
 
 
@@ -187,6 +209,7 @@ def first_order_retention(
     return first_event_retention(
         sequence,
         fct_orders,
+        entity="customer_unique_id",
         ts="purchased_at",
         outcome_event="order_id",
         outcome_ts="delivered_at",

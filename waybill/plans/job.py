@@ -18,7 +18,7 @@ from waybill.plans.report import summary_lines
 from waybill.sources.extracts import export_extracts, write_csv, write_json
 from waybill.sources.raw import read_raw_zone
 from waybill.sources.staging import stage_all
-from waybill.sources.storage import scratch_table, write_table
+from waybill.sources.storage import drop_scratch, scratch_mark, scratch_table, write_table
 
 
 def build_tables(
@@ -39,7 +39,7 @@ def build_tables(
         store(name, df)
     # By month, so that the dashboard's month range reads only its own files.
     store("fct_orders", build_fct_orders(tables), partition_by="order_month")
-    sequence = scratch_table(customer_sequence(tables, params), "sequence")
+    sequence = scratch_table(customer_sequence(tables), "sequence")
     store("customer_orders", customer_orders(sequence))
     store(
         "first_order_retention",
@@ -54,7 +54,20 @@ def build_tables(
 def run_pipeline(
     spark: SparkSession, raw_dir: str, out_dir: str, params: Params = Params()
 ) -> dict[str, DataFrame]:
-    """Everything, in order. The check report is written before a failing check stops the job."""
+    """Everything, in order. The check report is written before a failing check stops the job.
+
+    Every result is a written table, so scratch data is removed at the end, also when it fails.
+    """
+    mark = scratch_mark(spark)
+    try:
+        return _run(spark, raw_dir, out_dir, params)
+    finally:
+        drop_scratch(spark, mark)
+
+
+def _run(
+    spark: SparkSession, raw_dir: str, out_dir: str, params: Params
+) -> dict[str, DataFrame]:
     out = out_dir.rstrip("/")
     tables = build_tables(spark, raw_dir, f"{out}/tables", params)
     report = run_checks(tables, tables["fct_orders"], tables["first_order_retention"])

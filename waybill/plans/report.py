@@ -18,13 +18,23 @@ MIN_MONTH_ORDERS, MONTHS_NAMED = 500, 3
 
 
 def report_totals(fct_orders: DataFrame) -> DataFrame:
+    """Each distinct count reads its own column; together they would expand the fact's rows."""
+
+    def distinct(column: str) -> Column:
+        return fct_orders.agg(F.countDistinct(column)).scalar()
+
     return fct_orders.agg(
         row_count().alias("orders"),
-        F.countDistinct("customer_unique_id").alias("customers"),
-        F.countDistinct("main_seller_id").alias("sellers"),
         rate(F.col("is_late")).alias("late_rate"),
         F.min("purchased_at").alias("first_order"),
         F.max("purchased_at").alias("last_order"),
+    ).select(
+        "orders",
+        distinct("customer_unique_id").alias("customers"),
+        distinct("main_seller_id").alias("sellers"),
+        "late_rate",
+        "first_order",
+        "last_order",
     )
 
 
@@ -60,8 +70,8 @@ def report_states(
 
 
 def report_distance(mart_distance: DataFrame) -> DataFrame:
-    """Known distance bands."""
-    return mart_distance.filter(F.col("distance_band") != DISTANCE_UNKNOWN)
+    """Known distance bands, the nearest first."""
+    return mart_distance.filter(F.col("distance_band") != DISTANCE_UNKNOWN).orderBy("distance_band")
 
 
 def report_seller_deciles(mart_seller: DataFrame) -> DataFrame:
@@ -71,7 +81,7 @@ def report_seller_deciles(mart_seller: DataFrame) -> DataFrame:
         F.sum("orders").alias("orders"),
         ratio(F.sum("late_orders"), F.sum("orders")).alias("late_rate"),
         F.avg("avg_review").alias("avg_review"),
-    )
+    ).orderBy("late_rate_decile")
 
 
 def report_decile_ends(deciles: DataFrame) -> DataFrame:
@@ -102,8 +112,10 @@ def report_worst_months(
 
 
 def _lines(section: int, df: DataFrame, position: Column, *parts: str | Column) -> DataFrame:
-    """One text line per row; parts are literal text or formatted columns."""
-    text = F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+    """One text line per row; parts are literal text or formatted columns, `unknown` where NULL."""
+    text = F.concat(
+        *[F.lit(p) if isinstance(p, str) else F.coalesce(p, F.lit("unknown")) for p in parts]
+    )
     return df.select(
         F.lit(section).alias("section"), position.cast("string").alias("position"), text.alias("line")
     )
@@ -153,7 +165,7 @@ def summary_lines(
             5, report_states(t["mart_state"]), F.format_string("%05d", c("late_rank")),
             "State ", c("customer_state"), ": ", percent(c("late_rate"), 1), " late, ",
             thousands(c("orders")), " orders, ",
-            F.coalesce(thousands(c("avg_distance_km")), F.lit("unknown")),
+            thousands(c("avg_distance_km")),
             " km from the seller on average, average review ",
             F.coalesce(fixed(c("avg_review"), 2), F.lit("none")),
         ),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
@@ -23,6 +24,11 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False) -> str:
     return path
 
 
+def read_json_as(spark: SparkSession, path: str, schema_of: DataFrame) -> DataFrame:
+    """Read a JSON file back with the types it was written from."""
+    return spark.read.schema(schema_of.schema).json(path)
+
+
 def read_csv_as(spark: SparkSession, path: str, schema_of: DataFrame) -> DataFrame:
     """Read an extract back with the types it was written from, columns bound by name."""
     text = spark.read.csv(path, header=True, inferSchema=False, quote='"', escape='"')
@@ -42,8 +48,8 @@ def extract_orders(fct_orders: DataFrame) -> DataFrame:
     return fct_orders.drop("customer_unique_id")
 
 
-# Extract name -> (table, ordering of its rows). The order-grain extract is not sorted and
-# stays in many files; marts are a handful of rows per key.
+# Extract name -> (table, ordering of its rows). The order-grain extract is not sorted
+# and stays in many files; marts are a handful of rows per key.
 EXTRACTS = {
     "orders": ("fct_orders", None),
     "lateness": ("mart_lateness", ("lateness_bucket", True)),
@@ -56,6 +62,13 @@ EXTRACTS = {
 }
 
 
+def in_order(frame: DataFrame, column: str, ascending: bool, single_file: bool) -> DataFrame:
+    """Rows by `column`, ties by all others; in one partition for report-sized frames."""
+    rest = [F.col(c).asc_nulls_last() for c in frame.columns if c != column]
+    by = F.col(column).asc_nulls_last() if ascending else F.col(column).desc_nulls_last()
+    return frame.coalesce(1).sortWithinPartitions(by, *rest) if single_file else frame.orderBy(by, *rest)
+
+
 def export_extracts(tables: Mapping[str, DataFrame], out_dir: str) -> dict[str, str]:
     """Write the eight extracts to `<out_dir>/<name>.csv`; returns their paths by name."""
     paths = {}
@@ -63,10 +76,9 @@ def export_extracts(tables: Mapping[str, DataFrame], out_dir: str) -> dict[str,
         frame = tables[table]
         if table == "fct_orders":
             frame = extract_orders(frame)
-        if order is not None:
-            column, ascending = order
-            frame = frame.orderBy(column, ascending=ascending)
         # The seller mart grows with the number of sellers, so it keeps its sorted part files.
         single = table.startswith("mart_") and table != "mart_seller"
-        paths[name] = write_csv(frame, f"{out_dir.rstrip('/')}/{name}.csv", single_file=single)
+        if order is not None:
+            frame = in_order(frame, *order, single_file=single)
+        paths[name] = write_csv(frame, f"{out_dir.rstrip('/')}/{name}.csv")
     return paths

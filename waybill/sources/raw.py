@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 # Base names of the nine raw inputs. Files may carry any `<vendor>_` prefix, and
-# each may be a single file or a folder of part files.
+# each may be a single file or a folder of part files. One vendor's files make a raw zone.
 RAW_INPUTS = {
     "customers": "customers_dataset.csv",
     "geolocation": "geolocation_dataset.csv",
@@ -43,16 +44,25 @@ def require_inputs(
     missing = [RAW_INPUTS[name] for name, hits in paths.items() if not hits]
     if missing:
         raise FileNotFoundError(f"no file for these raw inputs in {raw_dir}: {', '.join(missing)}")
+    doubled = [path for hits in paths.values() if len(hits) > 1 for path in hits]
+    if doubled:
+        raise ValueError(f"more than one vendor's files in {raw_dir}: {', '.join(sorted(doubled))}")
     return paths
 
 
 def read_raw(
     spark: SparkSession, path: str | list[str], multi_line: bool = False
 ) -> DataFrame:
-    """CSV with all columns as text; doubled quotes inside quoted fields are unescaped."""
-    return spark.read.csv(
-        path, header=True, inferSchema=False, quote='"', escape='"', multiLine=multi_line
-    )
+    """CSV with all columns as text; doubled quotes inside quoted fields are unescaped.
+
+    A part file with another header and a row with more or fewer fields than the header stop the
+    job. Spark sees the length of a row only if it parses all columns, so the scan is not pruned.
+    """
+    options = {"header": True, "quote": '"', "escape": '"', "multiLine": multi_line}
+    names = spark.read.csv(path, inferSchema=False, **options).columns
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
+    reader = spark.read.option("columnPruning", False)
+    return reader.csv(path, schema=schema, enforceSchema=False, mode="FAILFAST", **options)
 
 
 def read_raw_zone(spark: SparkSession, raw_dir: str) -> dict[str, DataFrame]:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,30 +24,40 @@ def write_table(df: DataFrame, path: str, partition_by: str | None = None) -> Da
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
-@functools.cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="waybill-")
-
-
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach, as named by the session.
-
-    Only a local-mode session without that setting gets a folder of its own.
-    """
+    """Folder every executor can reach: `spark.checkpoint.dir`, else one in the warehouse."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        return _local_folder()
-    raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+    if not folder:
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/shared"
+    return folder.rstrip("/")
+
+
+_scratch: dict[str, list[str]] = {}
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _scratch.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def scratch_mark(spark: SparkSession) -> int:
+    """How many scratch paths this application has used so far."""
+    return len(_scratch.get(spark.sparkContext.applicationId, []))
+
+
+def drop_scratch(spark: SparkSession, since: int = 0) -> None:
+    """Remove scratch data made after a `scratch_mark`; frames that read it fail afterwards."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    paths = _scratch.get(spark.sparkContext.applicationId, [])
+    for path in paths[since:]:
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(conf).delete(where, True)
+    del paths[since:]
 
 
 def scratch_table(df: DataFrame, name: str) -> DataFrame:
-    """Write `df` once to the shared folder and read it back.
+    """Write `df` once to the shared folder and read it back; this runs a job at once.
 
     For frames used several times: the work is done once, survives lost executors, and later
     reads prune columns and know the real size.
