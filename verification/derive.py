@@ -20,8 +20,8 @@ from waybill.sources.staging import latest_reviews, stage_products
 HOUR_SPREAD = 720
 
 
-# Plans are kept per session and folder, never data: a repeated query skips the footer read and
-# the analysis of its inputs.
+# Plans are kept per session and folder, never data: the many queries over one folder skip the footer
+# read and the analysis of their inputs. `forget_plans` makes the next query plan anew.
 @cache
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -267,3 +267,8 @@ def typed(spark: SparkSession, sf_dir: str) -> Derived:
             ),
         }
     )
+
+
+def forget_plans() -> None:
+    for kept in (load, raw_inputs, raw_text, typed):
+        kept.cache_clear()

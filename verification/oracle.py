@@ -586,6 +586,21 @@ def statements() -> dict[str, str]:
         "quality_checks": shaped(
             "check_name:s failing_rows:n", "f r cust sell prod rev", _checks()
         ),
+        "quality_report_file": shaped(
+            "check_name:s failing_rows:n", "f r cust sell prod rev", _checks()
+        ),
+        "statistic_file": shaped(_TEST_COLUMNS, "counts", _ztest("counts")),
+        "extract_order": shaped(
+            "line:n customer_state:s late_rank:n orders:n",
+            "state",
+            """SELECT *, ROW_NUMBER() OVER (ORDER BY late_rank, customer_state) AS line FROM state""",
+        ),
+        "chart_order": shaped(
+            "place:n customer_state:s",
+            "state",
+            """SELECT customer_state, ROW_NUMBER() OVER (ORDER BY late_rate, customer_state) AS place
+               FROM state""",
+        ),
         "quality_gate": shaped(
             "failing_rows:n",
             "f r cust sell prod rev",

@@ -66,6 +66,12 @@ def _fact(spark, sf) -> DataFrame:
     return facts.build_fct_orders(derive.typed(spark, sf))
 
 
+def forget_plans() -> None:
+    """Plan every later query anew; for timing."""
+    derive.forget_plans()
+    _fact.cache_clear()
+
+
 def _sequence(spark, sf) -> DataFrame:
     return facts.customer_sequence(derive.typed(spark, sf))
 
@@ -499,6 +505,43 @@ def quality_gate(spark, sf):
     return quality.gate(report_once).agg(F.sum("failing_rows").alias("failing_rows"))
 
 
+@query
+def quality_report_file(spark, sf):
+    """The report as the job leaves it, a CSV file, read back."""
+    report = scratch_table(_report(spark, sf), "quality_checks")
+    path = extracts.write_csv(report, scratch_path(spark, "quality_checks.csv"), single_file=True)
+    return extracts.read_csv_as(spark, path, report)
+
+
+@query
+def statistic_file(spark, sf):
+    """The test's statistic as the job leaves it, a JSON file, read back."""
+    mart = marts.mart_retention_late_vs_ontime(_retention(spark, sf))
+    test = scratch_table(proportions.retention_test(mart).drop("p_value"), "retention_test")
+    path = extracts.write_json(test, scratch_path(spark, "retention_test.json"))
+    return extracts.read_json_as(spark, path, test)
+
+
+@query
+def extract_order(spark, sf):
+    """The state extract read back, with the number of each line in its file."""
+    mart = scratch_table(marts.mart_state(_fact(spark, sf)), "mart_state")
+    ordered = extracts.in_order(mart, "late_rank", True, single_file=True)
+    path = extracts.write_csv(ordered, scratch_path(spark, "state.csv"))
+    # One file, read by one task from its first line on.
+    lines = extracts.read_csv_as(spark, path, mart).coalesce(1)
+    return lines.select(
+        (F.monotonically_increasing_id() + 1).alias("line"), "customer_state", "late_rank", "orders"
+    )
+
+
+@query
+def chart_order(spark, sf):
+    """The state chart's bars with their places, the lowest late rate first."""
+    bars = charts.chart_states(marts.mart_state(_fact(spark, sf)), 1).coalesce(1)
+    return bars.select((F.monotonically_increasing_id() + 1).alias("place"), "customer_state")
+
+
 @query
 def ztest_late_vs_ontime(spark, sf):
     mart = marts.mart_retention_late_vs_ontime(_retention(spark, sf))
