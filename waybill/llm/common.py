@@ -50,7 +50,10 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
     This runs a job at once. `drop_scratch` removes the files when no frame needs them any more.
     """
-    path = scratch_path(df.sparkSession, name)
+    return stored_at(df, scratch_path(df.sparkSession, name))
+
+
+def stored_at(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -60,18 +63,21 @@ def scratch_mark(spark: SparkSession) -> int:
     return len(_scratch.get(spark.sparkContext.applicationId, []))
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove one scratch folder before the others."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def drop_scratch(spark: SparkSession, since: int = 0, keep: tuple[str, ...] = ()) -> None:
     """Remove the scratch folders that operators made after a `scratch_mark`, but those in `keep`.
 
     Frames that read them fail afterwards. Called by jobs that know when their results are written.
     """
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     made = _scratch.get(spark.sparkContext.applicationId, [])
     for path in made[since:]:
         if path not in keep:
-            where = jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(conf).delete(where, True)
+            remove_path(spark, path)
             made.remove(path)
 
 

@@ -24,14 +24,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waybill.llm.common import stored
+from waybill.llm.common import WORD_CLASS, remove_path, scratch_path, stored, stored_at
 from waybill.llm.hashing import Run, mixed, runs, salted
 
 #: Shingle words and least similarity.
 SHINGLE_WORDS, LEAST_SIMILARITY = 5, 0.8
 #: Sketch entries, and shingles in each. A pair at similarity 0.8 shares an entry with probability
-#: 0.64, and none of them with 5e-6.
-ENTRIES, PICKED = 12, 2
+#: 0.51, and none of them with 1e-5; texts that share a passage of a third of their words share an
+#: entry with probability 0.04.
+ENTRIES, PICKED = 16, 3
 #: Buckets up to this size are paired in full; larger ones are split by up to LEVELS entries.
 SMALL_BUCKET, LEVELS = 24, 4
 
@@ -83,6 +84,7 @@ def sketches(shingles: np.ndarray, text: np.ndarray, texts: int) -> np.ndarray:
             at = at[np.concatenate([[True], group[at][1:] != group[at][:-1]])]
             values[at] = _MOST
             picked.append(at)
+        # A text of fewer shingles picks some again, which adds nothing to tell it by.
         entry = np.zeros(len(starts), dtype=np.uint64)
         for at in np.sort(np.stack(picked), axis=0):
             entry = mixed(entry + shingles[at])
@@ -165,35 +167,38 @@ def _own_shingles(hot: DataFrame, shingles: DataFrame) -> tuple[DataFrame, DataF
     return alone, rows.join(counts.filter("n > 1").select("key"), "key")
 
 
-def candidates(reps: DataFrame, shingles: DataFrame) -> DataFrame:
-    """Distinct candidate pairs a < b from (rep, n_words, sketch) and (rep, shingles).
+def _key(level: int):
+    """Hash of an entry and the `level` entries after it, with its place."""
+    run = F.slice(F.concat("sketch", "sketch"), F.col("place") + 1, F.lit(level + 1))
+    return F.xxhash64("place", F.lit(level), run)
+
+
+def buckets(reps: DataFrame) -> DataFrame:
+    """(rep, n_words, place, key, n): the entries that a text shares with n - 1 others."""
+    rows = reps.select("rep", "n_words", F.posexplode("sketch").alias("place", "entry"))
+    rows = rows.select("rep", "n_words", "place", F.xxhash64("place", "entry").alias("key"))
+    sizes = rows.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+    return rows.join(sizes, "key")
+
+
+def candidates(met: DataFrame, reps: DataFrame, shingles: DataFrame) -> DataFrame:
+    """Distinct candidate pairs a < b from `buckets`, (rep, sketch) and (rep, shingles).
 
     Buckets form by one entry; those larger than SMALL_BUCKET split by the entry after it, and so on.
     Sizes and leaders come from partial aggregates. The leaders are members with the largest sum of
     bucket sizes over all entries and those with the fewest shingles of their own: the text that others
     are versions of, or that is little but the passage they share, is near to most of them.
     """
-    keys = F.transform(
-        F.sequence(F.lit(0), F.lit(ENTRIES - 1)),
-        lambda j: F.transform(
-            F.sequence(F.lit(1), F.lit(LEVELS)),
-            lambda level: F.xxhash64(
-                j, level, F.slice(F.concat("sketch", "sketch"), j + 1, level)
-            ),
-        ),
-    )
-    rows = reps.select("rep", "n_words", F.explode(keys).alias("keys")).withColumn("key", F.col("keys")[0])
-    sizes = rows.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-    met = stored(rows.join(sizes, "key"), "buckets")
     found = [_full_pairs(met.filter(F.col("n") <= SMALL_BUCKET))]
     hot = met.filter(F.col("n") > SMALL_BUCKET)
     central = hot.groupBy("rep").agg(F.sum("n").alias("central"))
     alone, few = _own_shingles(hot, shingles)
     found.append(_full_pairs(few))
-    hot = hot.select("rep", "n_words", "keys").join(central, "rep").join(alone, "rep", "left")
-    hot = stored(hot.withColumn("shared", -F.coalesce("alone", F.lit(0))).drop("alone"), "hot-buckets")
+    known = central.join(alone, "rep", "left").join(reps.select("rep", "sketch"), "rep")
+    known = known.withColumn("shared", -F.coalesce("alone", F.lit(0))).drop("alone")
+    hot = stored(hot.select("rep", "n_words", "place").join(known, "rep"), "hot-buckets")
     for level in range(LEVELS):
-        hot = hot.withColumn("key", F.col("keys")[level])
+        hot = hot.withColumn("key", _key(level))
         shortest = (-F.col("n_words")).alias("short")
         draw = [F.xxhash64("key", F.lit(i), "rep").alias("draw") for i in range(2)]
         ranked = (
@@ -204,7 +209,7 @@ def candidates(reps: DataFrame, shingles: DataFrame) -> DataFrame:
         sized = stored(hot.join(sizes.filter("n > 1"), "key"), "hot-level")
         found.append(_stars(sized.filter(F.col("n") > SMALL_BUCKET)))
         found.append(_full_pairs(sized.filter(F.col("n") <= SMALL_BUCKET)))
-        hot = sized.filter(F.col("n") > SMALL_BUCKET).drop("n", "leaders")
+        hot = sized.filter(F.col("n") > SMALL_BUCKET).drop("n", "leaders", "key")
     return reduce(DataFrame.union, found).distinct().select("pair.a", "pair.b")
 
 
@@ -313,33 +318,34 @@ def classes(docs: DataFrame) -> DataFrame:
     their own id. Rows that repeat an id are listed as often; rows without an id take the class of
     their text and never give it its id. Writes tables to scratch and runs jobs.
     """
-    made = stored(features(docs), "shingles")
+    spark = docs.sparkSession
+    path = scratch_path(spark, "shingles")
+    made = stored_at(features(docs), path)
     texts = stored(
         made.groupBy("digest", "n_words").agg(F.min("doc_id").alias("rep"), F.min("sketch").alias("sketch")),
         "texts",
     )
+    ids = stored(made.select("doc_id", "digest", "n_words"), "digests")
     reps = texts.filter("rep IS NOT NULL")
-    shingles = made.select(F.col("doc_id").alias("rep"), "digest", "shingles").join(
-        reps.select("rep", "digest"), ["rep", "digest"], "left_semi"
-    )
-    pairs = stored(candidates(reps.select("rep", "n_words", "sketch"), shingles), "pairs")
-    wanted = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
-    shingles = stored(shingles.join(wanted, "rep", "left_semi").dropDuplicates(["rep"]), "candidates")
+    met = stored(buckets(reps), "buckets")
+    # From here on only texts that share an entry with another one matter; their shingles move once.
+    wanted = reps.select("rep", "digest").join(met.select("rep").distinct(), "rep", "left_semi")
+    own = made.select(F.col("doc_id").alias("rep"), "digest", "shingles")
+    own = own.join(wanted, ["rep", "digest"], "left_semi").dropDuplicates(["rep", "digest"])
+    shingles = stored(own.select("rep", "shingles"), "candidates")
+    remove_path(spark, path)
+    pairs = stored(candidates(met, reps, shingles), "pairs")
     found = components(stored(links(pairs, shingles), "links"))
     named = texts.join(found, F.col("rep") == F.col("node"), "left").select(
         "digest", "n_words", F.coalesce("label", "rep").alias("class_id")
     )
-    with_words = made.select("doc_id", "digest", "n_words").join(named, ["digest", "n_words"]).select("doc_id", "class_id")
+    with_words = ids.join(named, ["digest", "n_words"]).select("doc_id", "class_id")
     wordless = docs.filter(
-        F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD)), F.lit(0)) == 0
+        F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD_CLASS)), F.lit(0)) == 0
     ).select("doc_id", F.col("doc_id").alias("class_id"))
     return with_words.union(wordless)
 
 
-#: A word's character, for telling wordless texts.
-WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
-
-
 def dedupe(docs: DataFrame) -> DataFrame:
     """One document of each class, the one with the least id, with its columns.
 
