@@ -90,11 +90,11 @@ class Decoder:
             ready = np.flatnonzero(~done[vocabulary:] & done[rules[:, 0]] & done[rules[:, 1]])
             whole = self._gather(rules[ready].ravel())
             lengths_of = self.lengths[vocabulary + ready]
-            self.table[_ranges(self.starts[vocabulary + ready], lengths_of)] = whole
+            self.table[ranges(self.starts[vocabulary + ready], lengths_of)] = whole
             done[vocabulary + ready] = True
 
     def _gather(self, symbols: np.ndarray) -> np.ndarray:
-        return self.table[_ranges(self.starts[symbols], self.lengths[symbols])]
+        return self.table[ranges(self.starts[symbols], self.lengths[symbols])]
 
     def decode(self, symbols: np.ndarray) -> np.ndarray:
         return self._gather(symbols)
@@ -107,7 +107,7 @@ class Decoder:
         return self._gather(symbols[first:last])[start - before : stop - before]
 
 
-def _ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """start, start + 1, ... of each range, one after the other."""
     first = np.cumsum(lengths) - lengths
     return np.arange(int(lengths.sum())) + np.repeat(starts - first, lengths)

@@ -15,8 +15,10 @@ from __future__ import annotations
 
 import json
 import re
+import sys
 import uuid
 from collections.abc import Iterator
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -26,13 +28,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from waybill.llm import files
-from waybill.llm.repair import Decoder, compress, expansion_lengths
+from waybill.llm.hashing import RUN_BYTES, hash_spans
+from waybill.llm.repair import Decoder, compress, expansion_lengths, ranges
 
 #: The tokenizer file and the id after each document.
 TOKENIZER, END_ID = "byte_bpe_50k.json", 2
-#: Tokens of a shard (one document at least), texts encoded at once, chunks kept with
-#: their ids, and new chunks encoded together.
-SHARD_TOKENS, ENCODE_TEXTS, KEPT_CHUNKS, LINES_AT_ONCE = 1 << 21, 256, 500_000, 256
+#: Tokens of a shard (one document at least), characters of texts encoded at once (one text at
+#: least), chunks kept with their ids, and new chunks encoded together.
+SHARD_TOKENS, ENCODE_CHARS, KEPT_CHUNKS, LINES_AT_ONCE = 1 << 20, 2 << 20, 600_000, 256
 #: Files are read in bins of about this many bytes.
 READ_BYTES = 32 << 20
 
@@ -112,30 +115,65 @@ class Encoder:
 
     @staticmethod
     def chunks(text: str) -> list[str]:
-        if _TWO_BLANKS.search(text):
-            first, *rest = _SINGLE_BLANK.split(text)
-            return [first, *[" " + chunk for chunk in rest]]
-        out = []
-        for k, line in enumerate(text.split("\n")):
-            if k:
-                out.append("\n")
-            first, *rest = line.split(" ")
-            out.append(first)
-            out += [" " + chunk for chunk in rest]
-        return out
+        first, *rest = _SINGLE_BLANK.split(text)
+        return [first, *[" " + chunk for chunk in rest]]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        whole = [not self.by_chunks or any(s in text for s in self.special) for text in texts]
-        parts = [[text] if w else self.chunks(text) for text, w in zip(texts, whole, strict=True)]
-        new = set().union(*(set(p) for p, w in zip(parts, whole, strict=True) if not w))
+    def _cached(self, chunks: list[str]) -> None:
+        new = [chunk for chunk in chunks if chunk not in self.kept]
         if len(self.kept) + len(new) > KEPT_CHUNKS:
-            self.kept = {}
-        self._keep(list(new.difference(self.kept)))
-        kept = self.kept
-        return [
-            self._encode(p)[0] if w else b"".join([kept[chunk] for chunk in p])
-            for p, w in zip(parts, whole, strict=True)
-        ]
+            self.kept.clear()
+            new = chunks
+        self._keep(new)
+
+    def _by_hash(self, data: bytes, begins: np.ndarray) -> list[bytes]:
+        """Ids of texts whose blanks are all single: equal chunks are found by 64-bit hash."""
+        raw = np.frombuffer(data, dtype=np.uint8)
+        opens = (raw == 0x20) | (raw == 0x0A)
+        opens[1:] |= raw[:-1] == 0x0A
+        opens[begins[:-1]] = True
+        starts = np.flatnonzero(opens)
+        ends = np.append(starts[1:], len(raw))
+        cuts = np.append(np.flatnonzero(np.diff(starts // RUN_BYTES, prepend=-1)), len(starts))
+        hashes = np.concatenate([hash_spans(raw, starts[i:j], ends[i:j]) for i, j in zip(cuts[:-1], cuts[1:], strict=True)])
+        _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
+        chunks = [data[i:j].decode() for i, j in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
+        self._cached(chunks)
+        ids = [self.kept[chunk] for chunk in chunks]
+        table = np.frombuffer(b"".join(ids), dtype="<u4")
+        sizes = np.array([len(x) // 4 for x in ids], dtype=np.int64)
+        places = np.cumsum(sizes) - sizes
+        flat = table[ranges(places[which], sizes[which])].tobytes()
+        of_text = np.searchsorted(begins, starts, side="right") - 1
+        counts = np.bincount(of_text, weights=sizes[which], minlength=len(begins) - 1).astype(np.int64)
+        at = [0, *(4 * np.cumsum(counts)).tolist()]
+        return [flat[i:j] for i, j in zip(at[:-1], at[1:], strict=True)]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        out: list[bytes] = [b""] * len(texts)
+        regular = []
+        for k, text in enumerate(texts):
+            if not self.by_chunks or any(s in text for s in self.special):
+                out[k] = self._encode([text])[0]
+            elif _TWO_BLANKS.search(text):
+                parts = self.chunks(text)
+                self._cached(list(dict.fromkeys(parts)))
+                out[k] = b"".join([self.kept[chunk] for chunk in parts])
+            elif text:
+                regular.append(k)
+        if regular:
+            packed = [texts[k].encode() for k in regular]
+            begins = np.concatenate([[0], np.cumsum([len(p) for p in packed])]).astype(np.int64)
+            for k, ids in zip(regular, self._by_hash(b"".join(packed), begins), strict=True):
+                out[k] = ids
+        return out
+
+
+def process_encoder(name: str) -> Encoder:
+    """One encoder per worker process, with what it keeps; workers live on from task to task."""
+    kept = sys.modules.setdefault("_waybill_encoders", ModuleType("_waybill_encoders")).__dict__
+    if name not in kept:
+        kept[name] = Encoder(name)
+    return kept[name]
 
 
 def _pack(ids: list[int | None], tokens: list[bytes], vocabulary: int) -> bytes:
@@ -248,6 +286,20 @@ def read_shards(store, path: str, size: int) -> Iterator[Shard]:
             yield Shard(source.read(bytes_of))
 
 
+def _groups(batch: pa.RecordBatch) -> Iterator[tuple[list, list[str]]]:
+    """Ids and texts of a batch in groups of about ENCODE_CHARS characters."""
+    ids, texts, held = [], [], 0
+    for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+        ids.append(doc_id)
+        texts.append(text)
+        held += len(text)
+        if held >= ENCODE_CHARS:
+            yield ids, texts
+            ids, texts, held = [], [], 0
+    if ids:
+        yield ids, texts
+
+
 def write_tokens(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, end_id: int = END_ID) -> None:
     """Encode every document and write the files and their manifest under `path`; runs a job.
 
@@ -262,14 +314,12 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, end_id:
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = out = None
         for batch in batches:
-            for row in range(0, len(batch), ENCODE_TEXTS):
-                part = batch.slice(row, ENCODE_TEXTS)
-                if out is None:
-                    encoder = Encoder(tokenizer)
-                    out = _File(path, encoder.vocabulary)
-                encoded = encoder.encode(part.column("text").to_pylist())
-                for doc_id, ids in zip(part.column("doc_id").to_pylist(), encoded, strict=True):
-                    out.add(doc_id, ids + end)
+            if out is None:
+                encoder = process_encoder(tokenizer)
+                out = _File(path, encoder.vocabulary)
+            for ids, texts in _groups(batch):
+                for doc_id, encoded in zip(ids, encoder.encode(texts), strict=True):
+                    out.add(doc_id, encoded + end)
         if out is not None:
             entry = out.close() | {"part": TaskContext.get().partitionId()}
             yield pa.RecordBatch.from_pylist([entry], schema=_ENTRY)
