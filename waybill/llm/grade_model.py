@@ -79,7 +79,7 @@ def features(run: Run, known: np.ndarray | None = None) -> tuple[np.ndarray, np.
         parts.append((text, slot, SHARE_SCALE * counts / grams[text]))
     same = np.flatnonzero((words[1:] == words[:-1]) & (run.word_text[1:] == run.word_text[:-1])) + 1
     again = np.bincount(run.word_text[same], minlength=run.texts)
-    some = np.flatnonzero(again)
+    some = np.flatnonzero(again) if known is None or known[_REPEATS] else np.zeros(0, dtype=np.int64)
     parts.append((some, np.full(len(some), _REPEATS), SHARE_SCALE * again[some] / run.words[some]))
     return tuple(np.concatenate(part) for part in zip(*parts, strict=True))
 
@@ -119,26 +119,31 @@ def train(texts: pa.Array, grades: np.ndarray, steps: int = STEPS) -> Model:
         only = int(grades[0]) if len(grades) else top
         thresholds = np.where(np.arange(1, top + 1) <= only, -10.0, 10.0)
         return Model(np.zeros(0, dtype=np.int64), np.zeros(0), thresholds)
-    parts = []
+    # A first pass only counts in how many texts, and in how many of each grade, a slot is.
+    having = np.zeros(_SLOTS, dtype=np.int32)
+    reaching = np.zeros((top, _SLOTS), dtype=np.int32)
     for row, run in runs(texts, lowered=True, blank_words=False):
-        text, slot, value = features(run)
-        parts.append(((text + row).astype(np.int32), slot.astype(np.int32), value.astype(np.float32)))
-    text, slot, value = (np.concatenate(part) for part in zip(*parts, strict=True))
-    having = np.bincount(slot, minlength=_SLOTS)
+        text, slot, _ = features(run)
+        np.add.at(having, slot, 1)
+        for k in range(1, top + 1):
+            np.add.at(reaching[k - 1], slot[grades[text + row] >= k], 1)
     deviation = np.zeros(_HASHED)
     for k in range(1, top + 1):
         share = (grades >= k).mean()
         spread = np.sqrt(having * share * (1 - share) * (1 - having / len(grades)) + 1e-9)
-        reaching = np.bincount(slot, weights=grades[text] >= k, minlength=_SLOTS)
-        deviation = np.maximum(deviation, (np.abs(reaching - having * share) / spread)[:_HASHED])
+        deviation = np.maximum(deviation, (np.abs(reaching[k - 1] - having * share) / spread)[:_HASHED])
     deviation[(having[:_HASHED] < LEAST_TEXTS) | (deviation < LEAST_DEVIATION)] = 0
     most = np.argsort(-deviation, kind="stable")[: max(1, len(grades) // TEXTS_PER_SLOT)]
     classes = _HASHED + np.flatnonzero(having[_HASHED:] >= LEAST_TEXTS)
     slots = np.concatenate([np.sort(most[deviation[most] > 0]), classes])
     column = np.full(_SLOTS, -1, dtype=np.int32)
     column[slots] = np.arange(len(slots))
-    used = column[slot] >= 0
-    text, at, value = text[used], column[slot[used]], value[used].astype(float)
+    known = column >= 0
+    parts = []
+    for row, run in runs(texts, lowered=True, blank_words=False):
+        text, slot, value = features(run, known)
+        parts.append((text + row, column[slot], value))
+    text, at, value = (np.concatenate(part) for part in zip(*parts, strict=True))
     n, width = len(grades), len(slots)
     at_least = np.array([(grades >= k).mean() for k in range(1, top + 1)]).clip(1e-3, 1 - 1e-3)
     first = np.log(1 / at_least - 1)

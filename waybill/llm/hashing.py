@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Texts are handled in runs of about this many bytes (one text at least), which bounds the memory.
-RUN_BYTES = 1 << 20
+RUN_BYTES = 1 << 19
 U = np.uint64
 _BASE, _K1, _K2 = U(0x9E3779B97F4A7C15), U(0xBF58476D1CE4E5B9), U(0x94D049BB133111EB)
 
