@@ -58,6 +58,30 @@ def test_classes_against_all_pairs(spark):
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(["None", *map(str, set(want.values()))])
 
 
+def versions(count, edits, length, seed):
+    """Versions of a text that is not among them: each makes some of a few edits, so that every shingle
+    is in many versions and a link is a difference of three edits at most."""
+    random = np.random.default_rng(seed)
+    base, made = prose(random, length), set()
+    while len(made) < count:
+        made.add(tuple(random.integers(0, 2, edits).tolist()))
+    out = []
+    for bits in sorted(made):
+        copy = list(base)
+        for edit, bit in enumerate(bits):
+            if bit:
+                copy[5 + edit * (length // edits)] = f"edit{edit}"
+        out.append(" ".join(copy))
+    return dict(enumerate(random.permutation(out).tolist()))
+
+
+def test_versions_without_central_text(spark):
+    texts = versions(400, 15, 180, 3)
+    docs = spark.createDataFrame([*texts.items()], "doc_id long, text string")
+    found = {r.doc_id: r.class_id for r in order_minhash.classes(docs.repartition(5)).collect()}
+    assert found == near_classes(texts)
+
+
 def test_alignment():
     a = np.arange(100)
     jaccard, aligned = order_minhash.similarity(a, np.concatenate([a[50:], a[:50]]))

@@ -11,6 +11,9 @@ texts is compared in full. A larger one is starred to a few central members, and
 sketch entries until its parts are small, so no bucket is paired in full and none is cut off. Its
 members are also compared where they share shingles that are rare among them: two versions of one
 text that are near each other but not near its central version share some of their own edits.
+
+What that leaves apart is then joined exactly: members of large buckets in different components meet
+at every shingle that a link must share (`across`), so no link between components goes unseen there.
 """
 
 from __future__ import annotations
@@ -18,6 +21,7 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections.abc import Iterator
 from functools import reduce
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +39,8 @@ SHINGLE_WORDS, LEAST_SIMILARITY = 5, 0.8
 ENTRIES, PICKED = 16, 3
 #: Buckets up to this size are paired in full; larger ones are split by up to LEVELS entries.
 SMALL_BUCKET, LEVELS = 24, 4
+#: Shingles are ordered by counts in this many slots. Any order is exact; the rarest first meet least.
+COUNT_SLOTS = 1 << 20
 
 _MOST = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -283,6 +289,93 @@ def links(pairs: DataFrame, shingles: DataFrame) -> DataFrame:
     return joined.select("a", "b", "of_a", "of_b").mapInArrow(verify, "a bigint, b bigint")
 
 
+def _rarity(shingles: DataFrame) -> np.ndarray:
+    """How many shingles fall to each of COUNT_SLOTS slots."""
+    keys = shingles.select(F.explode("shingles").alias("key"))
+    counts = keys.groupBy(F.pmod("key", F.lit(COUNT_SLOTS)).alias("slot")).agg(F.count("*").alias("n")).toArrow()
+    out = np.zeros(COUNT_SLOTS, dtype=np.int64)
+    out[counts["slot"].to_numpy()] = counts["n"].to_numpy()
+    return out
+
+
+def _prefixes(members: DataFrame, rarity: np.ndarray) -> DataFrame:
+    """(rep, label, key, pos, len): the rarest shingles of each text, as many as it takes that two
+    texts at the least similarity share one, with their place in that order."""
+    shared = members.sparkSession.sparkContext.broadcast(rarity)
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            side = batch.column("shingles")
+            offsets, values = side.offsets.to_numpy(), side.values.to_numpy(zero_copy_only=False)
+            picked, lengths = [], np.diff(offsets)
+            for row, length in enumerate(lengths.tolist()):
+                own = np.unique(values[offsets[row] : offsets[row + 1]])
+                order = np.argsort(shared.value[own % COUNT_SLOTS], kind="stable")
+                picked.append(own[order[: length - ceil(LEAST_SIMILARITY * length - 1e-6) + 1]])
+            counts = np.array([len(keys) for keys in picked], dtype=np.int64)
+            row = np.repeat(np.arange(len(picked)), counts)
+            place = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("rep").take(pa.array(row)),
+                    batch.column("label").take(pa.array(row)),
+                    pa.array(np.concatenate([*picked, np.zeros(0, dtype=np.int32)]).astype(np.int32)),
+                    pa.array(place.astype(np.int32)),
+                    pa.array(lengths[row].astype(np.int32)),
+                ],
+                names=["rep", "label", "key", "pos", "len"],
+            )
+
+    return members.select("rep", "label", "shingles").mapInArrow(
+        make, "rep bigint, label bigint, key int, pos int, len int"
+    )
+
+
+def across(met: DataFrame, shingles: DataFrame, found: DataFrame) -> DataFrame:
+    """Distinct pairs a < b of members of large buckets that lie in different components of `found`
+    and whose shingles may be similar enough: a prefix-filtered join that misses none.
+
+    Two texts at the least similarity share a shingle among the rarest of both, and from the first
+    such shingle on both have enough left for the overlap. At each shingle all members but those of
+    its largest component meet the others, so a component's own pairs are not made.
+    """
+    hot = met.filter(F.col("n") > SMALL_BUCKET).select("rep").distinct()
+    labels = hot.join(found.withColumnRenamed("node", "rep"), "rep", "left")
+    labels = labels.select("rep", F.coalesce("label", "rep").alias("label"))
+    prefixes = stored(_prefixes(shingles.join(labels, "rep"), _rarity(shingles)), "prefixes")
+    sizes = prefixes.groupBy("key", "label").agg(F.count("*").alias("n"))
+    largest = sizes.groupBy("key").agg(
+        F.max(F.struct("n", "label"))["label"].alias("largest"), F.count("*").alias("labels")
+    )
+    apart = stored(prefixes.join(largest.filter("labels > 1").drop("labels"), "key"), "apart")
+    minor = apart.filter("label <> largest").select(
+        "key", *(F.col(name).alias(f"{name}_x") for name in ("rep", "label", "pos", "len"))
+    )
+    overlap = LEAST_SIMILARITY / (1 + LEAST_SIMILARITY) * (F.col("len") + F.col("len_x")) - 1e-6
+    left = F.least(F.col("len") - F.col("pos"), F.col("len_x") - F.col("pos_x"))
+    met_there = minor.join(apart, "key").filter(
+        (F.col("label") != F.col("label_x"))
+        & ((F.col("label") == F.col("largest")) | (F.col("rep_x") < F.col("rep")))
+        & (left >= overlap)
+    )
+    return met_there.select(_pair(F.col("rep_x"), F.col("rep")).alias("pair")).distinct().select("pair.a", "pair.b")
+
+
+def connected(met: DataFrame, reps: DataFrame, shingles: DataFrame) -> DataFrame:
+    """node, label: components of the links of `candidates`, then joined by the links across them."""
+    pairs = stored(candidates(met, reps, shingles), "pairs")
+    found = stored(components(stored(links(pairs, shingles), "links")), "components")
+    bridges = links(stored(across(met, shingles, found), "across"), shingles)
+    side = lambda node, label: found.select(F.col("node").alias(node), F.col("label").alias(label))
+    bridges = bridges.join(side("a", "x"), "a", "left").join(side("b", "y"), "b", "left")
+    bridges = stored(bridges.select("a", "b", F.coalesce("x", "a").alias("x"), F.coalesce("y", "b").alias("y")), "bridges")
+    joined = components(bridges.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")))
+    joined = joined.select(F.col("node").alias("label"), F.col("label").alias("least"))
+    alone = bridges.select(F.col("a").alias("node"), F.col("x").alias("label")).union(bridges.select("b", "y"))
+    nodes = found.union(alone).distinct()
+    return nodes.join(joined, "label", "left").select("node", F.coalesce("least", "label").alias("label"))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, label: the least node of each node's connected component.
 
@@ -347,8 +440,7 @@ def classes(docs: DataFrame) -> DataFrame:
     own = own.join(wanted, ["rep", "digest"], "left_semi").dropDuplicates(["rep", "digest"])
     shingles = stored(own.select("rep", "shingles"), "candidates")
     remove_path(spark, path)
-    pairs = stored(candidates(met, reps, shingles), "pairs")
-    found = components(stored(links(pairs, shingles), "links"))
+    found = connected(met, reps, shingles)
     named = texts.join(found, F.col("rep") == F.col("node"), "left").select(
         "digest", "n_words", F.coalesce("label", "rep").alias("class_id")
     )
