@@ -34,6 +34,18 @@ def test_counts_against_brute_force(monkeypatch, run_bytes):
     assert got == [rule_counts(text) for text in mixed]
 
 
+@pytest.mark.parametrize("lowered", [True, False])
+def test_counts_tell_case_apart(lowered):
+    random = np.random.default_rng(7)
+    alphabet = ["a", "A", "z", "Z", "é", " ", " ", "\n"]
+    mixed = ["".join(random.choice(alphabet, random.integers(0, 200))) for _ in range(200)]
+    mixed += ["one two three four five ONE TWO THREE FOUR FIVE", "One two three four five " * 2]
+    got = []
+    for _, run in hashing.runs(pa.array(mixed), lowered=lowered, blank_words=True):
+        got += zip(*(column.tolist() for column in quality_rules._counts(run).values()), strict=True)
+    assert got == [rule_counts(text) for text in mixed]
+
+
 def test_held_out_accuracy_and_calibration():
     known, good = texts(400, 1)
     model = quality_rules.train(pa.array(known), good, np.arange(400) % 5 == 0)

@@ -118,6 +118,11 @@ class Run:
     def word_hash(self) -> np.ndarray:
         return hash_spans(self.lowered_data, self.word_starts, self.word_ends)
 
+    @cached_property
+    def exact_word_hash(self) -> np.ndarray:
+        """Hashes of the words as they stand, whether the run is `lowered` or not."""
+        return hash_spans(self.data, self.word_starts, self.word_ends) if self.lowered else self.word_hash
+
     @cached_property
     def words(self) -> np.ndarray:
         """Words of each text."""
@@ -128,9 +133,13 @@ class Run:
         sums = np.concatenate([[0], np.cumsum(flags, dtype=np.int64)])
         return sums[self.begins[1:]] - sums[self.begins[:-1]]
 
-    def windows(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        """Hash of the `n` words from each word on, and the first words of those inside one text."""
-        h, last = self.word_hash, len(self.word_hash) - n + 1
+    def windows(self, n: int, exact: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """Hash of the `n` words from each word on, and the first words of those inside one text.
+
+        With `exact`, words are told apart by case in a `lowered` run as well.
+        """
+        h = self.exact_word_hash if exact else self.word_hash
+        last = len(h) - n + 1
         if last <= 0:
             return np.zeros(0, dtype=U), np.zeros(0, dtype=np.int64)
         total = np.zeros(last, dtype=U)

@@ -32,7 +32,7 @@ _SLOTS = 1 << BITS
 
 
 def _counts(run: Run) -> dict[str, np.ndarray]:
-    """The base counts of each text of a run."""
+    """The base counts of each text of a run, of words and lines as they stand (case counts)."""
     starts, ends, text = run.word_starts, run.word_ends, run.word_text
     edges = np.zeros(len(run.data) + 1, dtype=np.int8)
     edges[starts] += 1
@@ -42,7 +42,7 @@ def _counts(run: Run) -> dict[str, np.ndarray]:
     word_chars = run.per_text(in_word & ((run.data & 0xC0) != 0x80))
 
     repeated = np.zeros(len(starts) + 1, dtype=np.int64)
-    hashes, first = run.windows(REPEAT_WORDS)
+    hashes, first = run.windows(REPEAT_WORDS, exact=True)
     if len(first):
         keys = hashes ^ salted(text[first].astype(np.uint64), 1)
         _, inverse, counts = np.unique(keys, return_inverse=True, return_counts=True)
