@@ -48,6 +48,27 @@ def test_quotas_with_large_budget():
     assert mixing.quotas(np.array([0]), np.array([9]), 0.0)[1].sum() == 0
 
 
+def test_quotas_of_long_documents():
+    assert mixing.quotas(np.array([100_000]), np.array([1]), 90_000.0)[1].tolist() == [1]
+    lengths, counts = np.array([100, 10_000_000]), np.array([100, 1])
+    assert mixing.quotas(lengths, counts, 9_000_000.0)[1].tolist() == [0, 1]
+    random = np.random.default_rng(8)
+    for size in (2, 5, 9, 12):
+        for _ in range(8):
+            lengths = np.sort(random.choice(np.arange(70_000, 900_000), size, replace=False))
+            counts, total = np.ones(size, dtype=np.int64), int(lengths.sum())
+            sums = np.array([lengths[np.array(c, dtype=bool)].sum() for c in itertools.product((0, 1), repeat=size)])
+            target = int(random.integers(1, total))
+            _, more = mixing.quotas(lengths, counts, float(target))
+            assert ((more >= 0) & (more <= counts)).all()
+            cells = -(-target // mixing.KNAPSACK_WORDS)
+            assert abs((lengths * more).sum() - target) <= np.abs(sums - target).min() + size * cells
+    lengths = np.unique(random.integers(70_000, 300_000, 300))
+    target = int(lengths.sum()) // 3
+    more = mixing.quotas(lengths, np.ones(len(lengths), dtype=np.int64), float(target))[1]
+    assert abs((lengths * more).sum() - target) <= target // mixing.KNAPSACK_WORDS
+
+
 DOCS = [
     *((i, "w " * (1 + i % 7), "b") for i in range(40)),
     *((100 + i, "é " * (1 + i % 5), "a") for i in range(9)),

@@ -22,7 +22,7 @@ SEED = 17
 #: Documents of one source and size are dealt to this many buckets by hash, so that ranking them
 #: never gathers a hot size in one task.
 BUCKETS = 1024
-#: Words of budget that the knapsack itself fits; larger documents fill what is above.
+#: Words of budget that the knapsack itself fits word by word; larger budgets in cells of more words.
 KNAPSACK_WORDS = 1 << 16
 
 
@@ -75,50 +75,70 @@ def fit(lengths: np.ndarray, free: np.ndarray, budget: int) -> np.ndarray:
 
     Bounded knapsack: multiplicities are split into powers of two, and for each sum the part that
     first reached it is kept, which is enough to read the choice back. Stops when the budget is met.
+    Above KNAPSACK_WORDS, sums are kept exactly but one to a cell of budget / KNAPSACK_WORDS words.
     """
     chosen = np.zeros(len(lengths), dtype=np.int64)
-    limit = min(2 * budget, budget + KNAPSACK_WORDS)
-    reached = np.zeros(limit + 1, dtype=bool)
-    reached[0] = True
-    by = np.full(limit + 1, -1, dtype=np.int64)
+    if budget <= 0:
+        return chosen
+    limit, cell = 2 * budget, -(-budget // KNAPSACK_WORDS)
+    reached = np.full(limit // cell + 1, -1, dtype=np.int64)
+    reached[0] = 0
+    by = np.full(len(reached), -1, dtype=np.int64)
     parts: list[tuple[int, int]] = []
     for i in np.argsort(-lengths, kind="stable"):
         length, left, step = int(lengths[i]), int(free[i]), 1
         if not 0 < length <= limit:
             continue
         left = min(left, limit // length)
-        while left > 0 and not reached[budget]:
+        while left > 0 and reached[budget // cell] != budget:
             times = min(step, left)
             left, step = left - times, step * 2
-            width = times * length
-            if width <= limit:
-                new = np.flatnonzero(reached[:-width] & ~reached[width:]) + width
-                reached[new], by[new] = True, len(parts)
+            sums = reached[reached >= 0] + times * length
+            sums = sums[sums <= limit]
+            at = sums // cell
+            new = reached[at] < 0
+            new[1:] &= at[1:] != at[:-1]
+            reached[at[new]], by[at[new]] = sums[new], len(parts)
             parts.append((int(i), times))
-        if reached[budget]:
+        if reached[budget // cell] == budget:
             break
-    sums = np.flatnonzero(reached)
+    sums = reached[reached >= 0]
     total = int(sums[np.argmin(np.abs(sums - budget))])
     while total:
-        i, times = parts[by[total]]
+        i, times = parts[by[total // cell]]
         chosen[i] += times
         total -= times * int(lengths[i])
     return chosen
 
 
+def _settled(lengths: np.ndarray, counts: np.ndarray, taken: np.ndarray, budget: int) -> tuple[int, np.ndarray]:
+    """How far from the budget, and the choice: documents fitted to what `taken` leaves, then to what
+    is left or over after that. Never further off than `taken`."""
+    for _ in range(3):
+        rest = budget - int((lengths * taken).sum())
+        if rest > 0:
+            taken = taken + fit(lengths, counts - taken, rest)
+        elif rest < 0:
+            taken = taken - fit(lengths, taken, -rest)
+    return abs(budget - int((lengths * taken).sum())), taken
+
+
 def quotas(lengths: np.ndarray, counts: np.ndarray, target: float) -> tuple[int, np.ndarray]:
     """Whole passes over a source, and how many documents of each length to take once more.
 
     Lengths share the remaining budget evenly, rounded down; what rounding leaves goes to the longest
-    documents that fit until the knapsack can fit the rest.
+    documents that fit until the knapsack can fit the rest. Where that does not meet the budget, as
+    when only documents longer than the rest are free, the knapsack also starts from the even share
+    and from nothing, and the nearest choice is taken.
     """
     total = int((lengths * counts).sum())
     if total == 0:
         return 0, np.zeros(len(lengths), dtype=np.int64)
     goal = min(round(target), MOST_PASSES * total)
     passes, budget = divmod(goal, total)
-    taken = np.array([int(n) * budget // total for n in counts], dtype=np.int64)
-    taken[lengths == 0] = 0
+    even = np.array([int(n) * budget // total for n in counts], dtype=np.int64)
+    even[lengths == 0] = 0
+    taken = even.copy()
     rest = budget - int((lengths * taken).sum())
     for i in np.argsort(-lengths, kind="stable"):
         if rest <= KNAPSACK_WORDS:
@@ -128,8 +148,11 @@ def quotas(lengths: np.ndarray, counts: np.ndarray, target: float) -> tuple[int,
             more = min(int(counts[i] - taken[i]), rest // length, -(-(rest - KNAPSACK_WORDS) // length))
             taken[i] += more
             rest -= more * length
-    if rest <= KNAPSACK_WORDS:
-        taken += fit(lengths, counts - taken, rest)
+    off, taken = _settled(lengths, counts, taken, budget)
+    for start in (even, np.zeros_like(even)):
+        if off:
+            other, choice = _settled(lengths, counts, start, budget)
+            off, taken = (other, choice) if other < off else (off, taken)
     return passes, taken
 
 
