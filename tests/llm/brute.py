@@ -1,6 +1,8 @@
 """Plain Python versions of what the operators return, for small tables."""
 
+import math
 import re
+import zlib
 from collections import Counter
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -81,3 +83,65 @@ def near_classes(texts, least=0.8):
                 x, y = sorted((root(a), root(b)))
                 of[y] = x
     return {i: root(i) for i in texts}
+
+
+def lost_letters(rows, every=199, least_length=6, least_count=5):
+    """Counts of words of (doc_id, text) rows, after every so-manieth run by its hash lost a letter."""
+    counts = Counter()
+    for doc_id, text in rows:
+        for run in re.findall("[a-zÀ-ÿ]+", (text or "").translate(LOWER)):
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            at = h % len(run)
+            word = run[:at] + run[at + 1 :] if h % every == 0 else run
+            counts[word] += len(word) >= least_length
+    return {word: n for word, n in counts.items() if n >= least_count}
+
+
+def one_edit(a, b):
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    short, long = sorted((a, b), key=len)
+    return len(long) == len(short) + 1 and any(long[:i] + long[i + 1 :] == short for i in range(len(long)))
+
+
+def spelling_variants(counts, times=5):
+    """(word, form, root, n, n_near, form_n) of every word, by comparing all pairs."""
+    forms, near_counts = {}, {}
+    for word, n in counts.items():
+        near = [other for other in counts if one_edit(word, other)]
+        near_counts[word] = len(near)
+        best = min(near, key=lambda other: (-counts[other], other), default=None)
+        forms[word] = best if best and counts[best] >= times * n else None
+    out = []
+    for word, n in counts.items():
+        root = word
+        while forms[root]:
+            root = forms[root]
+        form = forms[word]
+        out.append((word, form, root, n, near_counts[word], counts[form] if form else None))
+    return sorted(out)
+
+
+def lexical_ranking(docs, items, keep=10):
+    """(item_id, rank, doc_id, score) for docs and items as (id, text) pairs."""
+    term = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+    counted = [(doc_id, Counter(term.findall((text or "").translate(LOWER)))) for doc_id, text in docs]
+    counted = [(doc_id, tf) for doc_id, tf in counted if tf]
+    n_docs, n_terms = len(counted), sum(sum(tf.values()) for _, tf in counted)
+    df = Counter(t for _, tf in counted for t in tf)
+    out = []
+    for item_id, text in items:
+        wanted = Counter(term.findall((text or "").translate(LOWER)))
+        scored = []
+        for doc_id, tf in counted:
+            m = 25 + 75 * sum(tf.values()) * n_docs // n_terms
+            score = sum(
+                q * math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1))) * (10**9 * tf[t] // (1000 * tf[t] + 8 * m))
+                for t, q in wanted.items()
+                if t in tf
+            )
+            if score > 0:
+                scored.append((-score, doc_id is None, doc_id or 0, doc_id))
+        for rank, (score, _, _, doc_id) in enumerate(sorted(scored, key=lambda x: x[:3])[:keep], 1):
+            out.append((item_id, rank, doc_id, -score))
+    return out

@@ -10,11 +10,14 @@ from pyspark.sql import functions as F
 from waybill.llm import (
     decontaminate,
     grade_model,
+    graph_index,
+    lexical_search,
     license_index,
     mixing,
     order_minhash,
     preference,
     quality_rules,
+    spelling,
     token_output,
     url_filter,
     warc,
@@ -109,3 +112,22 @@ def op9_token_output(spark, sf):
     path = scratch_path(spark, "tokens")
     token_output.write_tokens(table(spark, sf, "documents"), path)
     return token_output.digests(token_output.read_tokens(spark, path))
+
+
+@query
+def op11_spelling(spark, sf):
+    """Every frequent word with its more frequent neighbour by one edit, after letters were lost at random."""
+    return spelling.variants(spelling.word_counts(table(spark, sf, "documents"), letter_lost=199))
+
+
+@query
+def op12_nearest(spark, sf):
+    """The five nearest vectors of every fiftieth one."""
+    vectors = table(spark, sf, "embeddings")
+    return graph_index.nearest(vectors, F.col("vec_id") % 50 == 0)
+
+
+@query
+def op13_lexical_search(spark, sf):
+    """The ten best documents of every benchmark item."""
+    return lexical_search.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"))

@@ -7,6 +7,11 @@ _WORDS = (
     r" '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 )
 
+_TERMS = (
+    "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),"
+    r" '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+)
+
 STATEMENTS: dict[str, str] = {
     "op1_decontamination": f"""
 WITH doc AS (
@@ -88,5 +93,72 @@ FROM pair
 LEFT JOIN side AS prompt ON prompt.conv_id = pair.conv_id AND prompt.is_prompt
 LEFT JOIN side AS rest ON rest.conv_id = pair.conv_id AND NOT rest.is_prompt
 LEFT JOIN answer ON answer.conv_id = pair.conv_id
+""",
+    "op11_spelling": """
+WITH RECURSIVE crc_row AS (
+    SELECT k, list_reduce([k] || range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) AS c
+    FROM (SELECT unnest(range(256)) AS k)
+), crc AS (
+    SELECT list(c ORDER BY k) AS t FROM crc_row
+), run AS (
+    SELECT COALESCE(CAST(doc_id AS VARCHAR), '') AS id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\\x{C0}-\\x{FF}]+')) AS run
+    FROM documents
+), per_doc AS (
+    SELECT id, run, COUNT(*) AS n FROM run WHERE length(run) >= 6 GROUP BY ALL
+), hashed AS (
+    SELECT run, n, xor(4294967295, list_reduce(
+        [4294967295] || flatten(list_transform(string_split(id || ':' || run, ''),
+            lambda x: CASE WHEN unicode(x) < 128 THEN [unicode(x)] ELSE [195, unicode(x) - 64] END)),
+        lambda c, b: xor(c >> 8, t[CAST((xor(c, b) & 255) + 1 AS BIGINT)]))) AS h
+    FROM per_doc, crc
+), lost AS (
+    SELECT CASE WHEN h % 199 = 0 THEN run[:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word, n FROM hashed
+), vocab AS (
+    SELECT word, CAST(SUM(n) AS BIGINT) AS n FROM lost WHERE length(word) >= 6 GROUP BY word HAVING SUM(n) >= 5
+), gap AS (
+    SELECT DISTINCT word, n, i, word[:i - 1] || word[i + 1:] AS rest, word[i] AS letter
+    FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM vocab)
+), near AS (
+    SELECT a.word, a.n, b.word AS near, b.n AS near_n FROM gap a JOIN gap b ON a.i = b.i AND a.rest = b.rest AND a.letter <> b.letter
+    UNION SELECT gap.word, gap.n, vocab.word, vocab.n FROM gap JOIN vocab ON rest = vocab.word
+    UNION SELECT vocab.word, vocab.n, gap.word, gap.n FROM gap JOIN vocab ON rest = vocab.word
+), best AS (
+    SELECT word, COUNT(*) AS n_near, first(near ORDER BY near_n DESC, near) AS near, MAX(near_n) AS near_n FROM near GROUP BY word
+), formed AS (
+    SELECT vocab.word, vocab.n, COALESCE(n_near, 0) AS n_near, CASE WHEN near_n >= 5 * vocab.n THEN near END AS form,
+        CASE WHEN near_n >= 5 * vocab.n THEN near_n END AS form_n
+    FROM vocab LEFT JOIN best ON best.word = vocab.word
+), chain AS (
+    SELECT word, word AS root FROM formed
+    UNION ALL SELECT chain.word, formed.form FROM chain JOIN formed ON formed.word = chain.root WHERE formed.form IS NOT NULL
+), ended AS (
+    SELECT chain.word, root FROM chain JOIN formed ON formed.word = root WHERE form IS NULL
+)
+SELECT formed.word, form, root, n, CAST(n_near AS BIGINT) AS n_near, form_n FROM formed JOIN ended ON ended.word = formed.word
+""",
+    "op13_lexical_search": rf"""
+WITH doc_term AS (
+    SELECT r, doc_id, unnest({_TERMS}) AS term FROM (SELECT row_number() OVER () AS r, doc_id, text FROM documents)
+), tf AS (
+    SELECT r, doc_id, term, COUNT(*) AS tf FROM doc_term GROUP BY ALL
+), doc AS (
+    SELECT r, SUM(tf) AS n FROM tf GROUP BY r
+), corpus AS (
+    SELECT COUNT(*) AS n_docs, SUM(n) AS n_terms FROM doc
+), item_term AS (
+    SELECT k, item_id, term, COUNT(*) AS q
+    FROM (SELECT row_number() OVER () AS k, item_id, unnest({_TERMS}) AS term FROM benchmark) GROUP BY ALL
+), weight AS (
+    SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * COUNT(*) + 1))) AS BIGINT) AS w
+    FROM tf, corpus WHERE term IN (SELECT term FROM item_term) GROUP BY term, n_docs
+), score AS (
+    SELECT k, item_id, tf.r, tf.doc_id, CAST(SUM(q * w * (1000000000 * tf // (1000 * tf + 8 * (25 + 75 * n * n_docs // n_terms)))) AS BIGINT) AS score
+    FROM item_term JOIN weight USING (term) JOIN tf USING (term) JOIN doc ON doc.r = tf.r, corpus
+    GROUP BY ALL
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM score WHERE score > 0)
+WHERE rank <= 10
 """,
 }
