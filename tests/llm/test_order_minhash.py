@@ -100,3 +100,31 @@ def test_components_of_long_chains(spark):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert order_minhash.classes(docs).count() == 0 and order_minhash.dedupe(docs).count() == 0
+
+
+def test_an_id_with_two_texts_ties_no_classes(spark):
+    random = np.random.default_rng(9)
+    a, b = (prose(random, 100) for _ in range(2))
+    near = lambda words: " ".join([*words[:-1], "changed"])
+    rows = [(1, near(a)), (2, near(b)), (3, " ".join(a)), (3, " ".join(b)), (3, " ".join(b)), (4, ""), (4, " "), (None, near(a))]
+    docs = spark.createDataFrame([(*row, 1) for row in rows], "doc_id long, text string, text_key int")
+    got = sorted((tuple(r) for r in order_minhash.classes(docs).collect()), key=str)
+    assert got == sorted([(1, 1), (2, 2), (3, 1), (3, 2), (3, 2), (4, 4), (4, 4), (None, 1)], key=str)
+    kept = [r.text for r in order_minhash.dedupe(docs).collect()]
+    assert sorted(t for t in kept if t.strip()) == sorted([near(a), near(b), near(a)]) and len(kept) == 4
+
+
+def test_repeated_rows_without_near_ones_stay_once(spark):
+    random = np.random.default_rng(10)
+    texts = [" ".join(prose(random, 40)) for _ in range(3)]
+    docs = spark.createDataFrame([(5, texts[0])] * 50 + [(6, texts[1]), (6, texts[2])], "doc_id long, text string")
+    assert sorted(tuple(r) for r in order_minhash.dedupe(docs).collect()) == sorted([(5, texts[0]), (6, texts[1]), (6, texts[2])])
+
+
+def test_very_long_texts(spark):
+    random = np.random.default_rng(11)
+    long = prose(random, 120_000)
+    other = [w if k % 100 else "edit" for k, w in enumerate(long)]
+    rows = [(1, " ".join(long)), (2, " ".join(other)), (3, " ".join(prose(random, 120_000)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, order_minhash.classes(docs).collect())) == [(1, 1), (2, 1), (3, 3)]

@@ -7,20 +7,16 @@ texts' labelled shingles are shared and an alignment of the shared ones, in orde
 around the diagonal, covers at least 0.8 of the longer text. Classes are the connected components.
 
 Equal texts are collapsed first, so a group of copies costs one sketch from there on. A bucket of few
-texts is compared in full. A larger one is starred to a few central members, and split by further
-sketch entries until its parts are small, so no bucket is paired in full and none is cut off. Its
-members are also compared where they share shingles that are rare among them: two versions of one
-text that are near each other but not near its central version share some of their own edits.
-
-What that leaves apart is then joined exactly: members of large buckets in different components meet
-at every shingle that a link must share (`across`), so no link between components goes unseen there.
+texts is compared in full. Members of a larger one meet its most central and its shortest text, which
+joins most of them. What that leaves apart is then joined exactly: members of large buckets in different
+components meet at every shingle that a link must share (`across`), so no link between components goes
+unseen there and no bucket is paired in full.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_left
 from collections.abc import Iterator
-from functools import reduce
 from math import ceil
 
 import numpy as np
@@ -28,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waybill.llm.common import WORD_CLASS, remove_path, scratch_path, stored, stored_at
+from waybill.llm.common import free_name, remove_path, scratch_path, stored, stored_at
 from waybill.llm.hashing import Run, mixed, runs, salted
 
 #: Shingle words and least similarity.
@@ -37,10 +33,12 @@ SHINGLE_WORDS, LEAST_SIMILARITY = 5, 0.8
 #: 0.51, and none of them with 1e-5; texts that share a passage of a third of their words share an
 #: entry with probability 0.04.
 ENTRIES, PICKED = 16, 3
-#: Buckets up to this size are paired in full; larger ones are split by up to LEVELS entries.
-SMALL_BUCKET, LEVELS = 24, 4
+#: Buckets up to this size are paired in full.
+SMALL_BUCKET = 24
 #: Shingles are ordered by counts in this many slots. Any order is exact; the rarest first meet least.
-COUNT_SLOTS = 1 << 20
+COUNT_SLOTS = 1 << 18
+#: A shingle's texts are dealt to tasks by this many.
+SALTED_ROWS = 1000
 
 _MOST = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -111,11 +109,17 @@ def sequence_digest(run: Run) -> np.ndarray:
     return out
 
 
-_FEATURES = "doc_id bigint, n_words bigint, digest binary, sketch array<bigint>, shingles array<int>"
+_ENTRY_COLUMNS = [f"entry{j}" for j in range(ENTRIES)]
+_FEATURES = (
+    "row bigint, doc_id bigint, text_key bigint, n_words bigint, digest binary, "
+    + ", ".join(f"{name} bigint" for name in _ENTRY_COLUMNS)
+    + ", shingles array<int>"
+)
 
 
 def features(docs: DataFrame) -> DataFrame:
-    """Word count, digest, sketch and shingles of every document with words, in Arrow batches."""
+    """Of every row of `docs`: a number of its own, id, hash of the text, word count, digest of the words,
+    sketch and shingles. To be stored: the numbers hold for what was written."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -127,18 +131,19 @@ def features(docs: DataFrame) -> DataFrame:
                 digest = sequence_digest(run)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column("doc_id").slice(row, run.texts),
+                        *[batch.column(name).slice(row, run.texts) for name in ("row", "doc_id", "text_key")],
                         pa.array(run.words.astype(np.int64)),
                         pa.array([d.tobytes() for d in digest], type=pa.binary()),
-                        pa.ListArray.from_arrays(
-                            pa.array(np.arange(run.texts + 1, dtype=np.int32) * ENTRIES), pa.array(sketch.ravel())
-                        ),
+                        *[pa.array(np.ascontiguousarray(sketch[:, j])) for j in range(ENTRIES)],
                         pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(small)),
                     ],
-                    names=["doc_id", "n_words", "digest", "sketch", "shingles"],
+                    names=["row", "doc_id", "text_key", "n_words", "digest", *_ENTRY_COLUMNS, "shingles"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(make, _FEATURES).filter("n_words > 0")
+    rows = docs.select(
+        F.monotonically_increasing_id().alias("row"), "doc_id", F.xxhash64("text").alias("text_key"), "text"
+    )
+    return rows.mapInArrow(make, _FEATURES)
 
 
 def _pair(a, b):
@@ -147,76 +152,45 @@ def _pair(a, b):
 
 def _full_pairs(rows: DataFrame) -> DataFrame:
     """All pairs of each small bucket."""
-    members = rows.groupBy("key").agg(F.array_sort(F.collect_set("rep")).alias("reps"))
-    later = lambda x, i: F.slice("reps", i + 2, F.size("reps"))
+    members = rows.groupBy("key").agg(F.array_sort(F.collect_set("node")).alias("nodes"))
+    later = lambda x, i: F.slice("nodes", i + 2, F.size("nodes"))
     pairs = F.flatten(
-        F.transform("reps", lambda x, i: F.transform(later(x, i), lambda y: _pair(x, y)))
+        F.transform("nodes", lambda x, i: F.transform(later(x, i), lambda y: _pair(x, y)))
     )
     return members.select(F.explode(pairs).alias("pair"))
 
 
-def _stars(rows: DataFrame) -> DataFrame:
-    """Each member with the bucket's leaders."""
-    return rows.select("rep", F.explode("leaders").alias("leader")).filter("rep <> leader").select(
-        _pair(F.col("rep"), F.col("leader")).alias("pair")
-    )
-
-
-def _own_shingles(hot: DataFrame, shingles: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rep, alone), (rep, key): shingles that no other member of a large bucket has, counted, and
-    those that only a few members have."""
-    members = shingles.join(hot.select("rep").distinct(), "rep", "left_semi")
-    rows = members.select("rep", F.explode(F.array_distinct("shingles")).alias("key"))
-    counts = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("rep").alias("owner"))
-    counts = stored(counts.filter(F.col("n") <= SMALL_BUCKET), "rare-shingles")
-    alone = counts.filter("n = 1").groupBy(F.col("owner").alias("rep")).agg(F.count("*").alias("alone"))
-    return alone, rows.join(counts.filter("n > 1").select("key"), "key")
-
+def _stars(hot: DataFrame) -> DataFrame:
+    """Each member of a large bucket with the bucket's leaders, once each.
 
-def _key(level: int):
-    """Hash of an entry and the `level` entries after it, with its place."""
-    run = F.slice(F.concat("sketch", "sketch"), F.col("place") + 1, F.lit(level + 1))
-    return F.xxhash64("place", F.lit(level), run)
-
-
-def buckets(reps: DataFrame) -> DataFrame:
-    """(rep, n_words, place, key, n): the entries that a text shares with n - 1 others."""
-    rows = reps.select("rep", "n_words", F.posexplode("sketch").alias("place", "entry"))
-    rows = rows.select("rep", "n_words", "place", F.xxhash64("place", "entry").alias("key"))
+    The leaders are the member with the largest sum of bucket sizes over all entries and the one of the
+    fewest words: the text that others are versions of, or that is little but the passage they share, is
+    near to most of them. They come from partial aggregates.
+    """
+    central = hot.groupBy("node").agg(F.sum("n").alias("central"))
+    draw = F.xxhash64("node")
+    ranked = (("central", draw), (-F.col("n_words"), draw))
+    leaders = F.array_distinct(F.array(*(F.max(F.struct(*by, "node"))["node"] for by in ranked)))
+    led = hot.join(hot.join(central, "node").groupBy("key").agg(leaders.alias("leaders")), "key")
+    # An entry of each place at most, so a row holds no more than a few leaders.
+    met = led.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("leaders"))).alias("leaders"))
+    rows = met.select("node", F.explode(F.array_remove("leaders", F.col("node"))).alias("leader"))
+    return rows.select(_pair(F.col("node"), F.col("leader")).alias("pair"))
+
+
+def buckets(texts: DataFrame) -> DataFrame:
+    """(node, n_words, key, n): the entries that a text shares with n - 1 others."""
+    entries = F.array(*_ENTRY_COLUMNS)
+    rows = texts.select("node", "n_words", F.posexplode(entries).alias("place", "entry"))
+    rows = rows.select("node", "n_words", F.xxhash64("place", "entry").alias("key"))
     sizes = rows.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     return rows.join(sizes, "key")
 
 
-def candidates(met: DataFrame, reps: DataFrame, shingles: DataFrame) -> DataFrame:
-    """Distinct candidate pairs a < b from `buckets`, (rep, sketch) and (rep, shingles).
-
-    Buckets form by one entry; those larger than SMALL_BUCKET split by the entry after it, and so on.
-    Sizes and leaders come from partial aggregates. The leaders are members with the largest sum of
-    bucket sizes over all entries and those with the fewest shingles of their own: the text that others
-    are versions of, or that is little but the passage they share, is near to most of them.
-    """
-    found = [_full_pairs(met.filter(F.col("n") <= SMALL_BUCKET))]
-    hot = met.filter(F.col("n") > SMALL_BUCKET)
-    central = hot.groupBy("rep").agg(F.sum("n").alias("central"))
-    alone, few = _own_shingles(hot, shingles)
-    found.append(_full_pairs(few))
-    known = central.join(alone, "rep", "left").join(reps.select("rep", "sketch"), "rep")
-    known = known.withColumn("shared", -F.coalesce("alone", F.lit(0))).drop("alone")
-    hot = stored(hot.select("rep", "n_words", "place").join(known, "rep"), "hot-buckets")
-    for level in range(LEVELS):
-        hot = hot.withColumn("key", _key(level))
-        shortest = (-F.col("n_words")).alias("short")
-        draw = [F.xxhash64("key", F.lit(i), "rep").alias("draw") for i in range(2)]
-        ranked = (
-            ("central", "shared", draw[0]), ("shared", "central", draw[0]), ("central", draw[1]), (shortest, draw[0]),
-        )
-        leaders = F.array_distinct(F.array(*(F.max(F.struct(*by, "rep"))["rep"] for by in ranked)))
-        sizes = hot.groupBy("key").agg(F.count("*").alias("n"), leaders.alias("leaders"))
-        sized = stored(hot.join(sizes.filter("n > 1"), "key"), "hot-level")
-        found.append(_stars(sized.filter(F.col("n") > SMALL_BUCKET)))
-        found.append(_full_pairs(sized.filter(F.col("n") <= SMALL_BUCKET)))
-        hot = sized.filter(F.col("n") > SMALL_BUCKET).drop("n", "leaders", "key")
-    return reduce(DataFrame.union, found).distinct().select("pair.a", "pair.b")
+def candidates(met: DataFrame) -> DataFrame:
+    """Distinct candidate pairs a < b from `buckets`."""
+    pairs = _full_pairs(met.filter(F.col("n") <= SMALL_BUCKET))
+    return pairs.union(_stars(met.filter(F.col("n") > SMALL_BUCKET))).distinct().select("pair.a", "pair.b")
 
 
 def similarity(a: np.ndarray, b: np.ndarray) -> tuple[float, float]:
@@ -225,7 +199,8 @@ def similarity(a: np.ndarray, b: np.ndarray) -> tuple[float, float]:
     The alignment chains shared shingles that stand in the same order in both texts, no further from
     the diagonal than the edits that the similarity allows; words of chained shingles are aligned.
     """
-    _, i, j = np.intersect1d(a, b, assume_unique=True, return_indices=True)
+    # Shingles are 32-bit hashes, which very long texts can hold twice.
+    _, i, j = np.intersect1d(a, b, return_indices=True)
     jaccard = len(i) / (len(a) + len(b) - len(i))
     longest = max(len(a), len(b)) + SHINGLE_WORDS - 1
     band = (1 - LEAST_SIMILARITY) * longest
@@ -267,9 +242,9 @@ def longest_increasing(values: np.ndarray) -> np.ndarray:
 
 
 def links(pairs: DataFrame, shingles: DataFrame) -> DataFrame:
-    """The pairs that are near duplicates; `shingles` has rep and shingles of every candidate."""
-    joined = pairs.join(shingles.select(F.col("rep").alias("b"), F.col("shingles").alias("of_b")), "b").join(
-        shingles.select(F.col("rep").alias("a"), F.col("shingles").alias("of_a")), "a"
+    """The pairs that are near duplicates; `shingles` has node and shingles of every candidate."""
+    joined = pairs.join(shingles.select(F.col("node").alias("b"), F.col("shingles").alias("of_b")), "b").join(
+        shingles.select(F.col("node").alias("a"), F.col("shingles").alias("of_a")), "a"
     )
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -299,8 +274,8 @@ def _rarity(shingles: DataFrame) -> np.ndarray:
 
 
 def _prefixes(members: DataFrame, rarity: np.ndarray) -> DataFrame:
-    """(rep, label, key, pos, len): the rarest shingles of each text, as many as it takes that two
-    texts at the least similarity share one, with their place in that order."""
+    """(node, label, key, pos, len), stored: the rarest shingles of each text, as many as it takes that
+    two texts at the least similarity share one, with their place in that order."""
     shared = members.sparkSession.sparkContext.broadcast(rarity)
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -317,18 +292,21 @@ def _prefixes(members: DataFrame, rarity: np.ndarray) -> DataFrame:
             place = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("rep").take(pa.array(row)),
+                    batch.column("node").take(pa.array(row)),
                     batch.column("label").take(pa.array(row)),
                     pa.array(np.concatenate([*picked, np.zeros(0, dtype=np.int32)]).astype(np.int32)),
                     pa.array(place.astype(np.int32)),
                     pa.array(lengths[row].astype(np.int32)),
                 ],
-                names=["rep", "label", "key", "pos", "len"],
+                names=["node", "label", "key", "pos", "len"],
             )
 
-    return members.select("rep", "label", "shingles").mapInArrow(
-        make, "rep bigint, label bigint, key int, pos int, len int"
+    rows = members.select("node", "label", "shingles").mapInArrow(
+        make, "node bigint, label bigint, key int, pos int, len int"
     )
+    rows = stored(rows, "prefixes")
+    shared.destroy()
+    return rows
 
 
 def across(met: DataFrame, shingles: DataFrame, found: DataFrame) -> DataFrame:
@@ -337,38 +315,46 @@ def across(met: DataFrame, shingles: DataFrame, found: DataFrame) -> DataFrame:
 
     Two texts at the least similarity share a shingle among the rarest of both, and from the first
     such shingle on both have enough left for the overlap. At each shingle all members but those of
-    its largest component meet the others, so a component's own pairs are not made.
+    its largest component meet the others, so a component's own pairs are not made. The members of a
+    frequent shingle are dealt to as many tasks as they fill with SALTED_ROWS each.
     """
-    hot = met.filter(F.col("n") > SMALL_BUCKET).select("rep").distinct()
-    labels = hot.join(found.withColumnRenamed("node", "rep"), "rep", "left")
-    labels = labels.select("rep", F.coalesce("label", "rep").alias("label"))
-    prefixes = stored(_prefixes(shingles.join(labels, "rep"), _rarity(shingles)), "prefixes")
+    hot = met.filter(F.col("n") > SMALL_BUCKET).select("node").distinct()
+    labels = hot.join(found, "node", "left").select("node", F.coalesce("label", "node").alias("label"))
+    prefixes = _prefixes(shingles.join(labels, "node"), _rarity(shingles))
     sizes = prefixes.groupBy("key", "label").agg(F.count("*").alias("n"))
     largest = sizes.groupBy("key").agg(
-        F.max(F.struct("n", "label"))["label"].alias("largest"), F.count("*").alias("labels")
+        F.max(F.struct("n", "label"))["label"].alias("largest"),
+        F.count("*").alias("labels"),
+        F.ceil(F.sum("n") / SALTED_ROWS).cast("int").alias("salts"),
     )
     apart = stored(prefixes.join(largest.filter("labels > 1").drop("labels"), "key"), "apart")
     minor = apart.filter("label <> largest").select(
-        "key", *(F.col(name).alias(f"{name}_x") for name in ("rep", "label", "pos", "len"))
+        "key",
+        F.pmod(F.xxhash64("node"), F.col("salts")).cast("int").alias("salt"),
+        *(F.col(name).alias(f"{name}_x") for name in ("node", "label", "pos", "len")),
     )
+    every = apart.select("*", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
     overlap = LEAST_SIMILARITY / (1 + LEAST_SIMILARITY) * (F.col("len") + F.col("len_x")) - 1e-6
     left = F.least(F.col("len") - F.col("pos"), F.col("len_x") - F.col("pos_x"))
-    met_there = minor.join(apart, "key").filter(
+    met_there = minor.join(every, ["key", "salt"]).filter(
         (F.col("label") != F.col("label_x"))
-        & ((F.col("label") == F.col("largest")) | (F.col("rep_x") < F.col("rep")))
+        & ((F.col("label") == F.col("largest")) | (F.col("node_x") < F.col("node")))
         & (left >= overlap)
     )
-    return met_there.select(_pair(F.col("rep_x"), F.col("rep")).alias("pair")).distinct().select("pair.a", "pair.b")
+    pairs = met_there.select(_pair(F.col("node_x"), F.col("node")).alias("pair"))
+    return pairs.distinct().select("pair.a", "pair.b")
 
 
-def connected(met: DataFrame, reps: DataFrame, shingles: DataFrame) -> DataFrame:
+def connected(met: DataFrame, shingles: DataFrame) -> DataFrame:
     """node, label: components of the links of `candidates`, then joined by the links across them."""
-    pairs = stored(candidates(met, reps, shingles), "pairs")
+    pairs = stored(candidates(met), "pairs")
     found = stored(components(stored(links(pairs, shingles), "links")), "components")
     bridges = links(stored(across(met, shingles, found), "across"), shingles)
     side = lambda node, label: found.select(F.col("node").alias(node), F.col("label").alias(label))
     bridges = bridges.join(side("a", "x"), "a", "left").join(side("b", "y"), "b", "left")
     bridges = stored(bridges.select("a", "b", F.coalesce("x", "a").alias("x"), F.coalesce("y", "b").alias("y")), "bridges")
+    if bridges.isEmpty():
+        return found
     joined = components(bridges.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")))
     joined = joined.select(F.col("node").alias("label"), F.col("label").alias("least"))
     alone = bridges.select(F.col("a").alias("node"), F.col("x").alias("label")).union(bridges.select("b", "y"))
@@ -388,6 +374,9 @@ def components(edges: DataFrame) -> DataFrame:
     left = first.select(F.col("node").alias("a"), F.col("near").alias("x"))
     right = first.select(F.col("node").alias("b"), F.col("near").alias("y"))
     rest = edges.join(left, "a").join(right, "b").filter("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    rest = stored(rest.distinct(), "edges")
+    if rest.isEmpty():
+        return first.select("node", F.col("near").alias("label"))
     labels = _labels(rest).withColumnRenamed("node", "near")
     return first.join(labels, "near", "left").select("node", F.coalesce("label", "near").alias("label"))
 
@@ -395,9 +384,7 @@ def components(edges: DataFrame) -> DataFrame:
 def _labels(edges: DataFrame) -> DataFrame:
     """Labels in rounds: the least label among the neighbours, then that label's own label, so that
     labels travel far. Each round is a written table; ends when a round changes nothing."""
-    both = stored(
-        edges.select("a", "b").union(edges.select(F.col("b"), F.col("a"))).distinct(), "edges"
-    )
+    both = stored(edges.select("a", "b").union(edges.select(F.col("b"), F.col("a"))), "edges")
     labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.min(F.least("a", "b")).alias("label")), "labels")
     while True:
         near = both.join(labels.select(F.col("node").alias("b"), F.col("label").alias("near")), "b")
@@ -417,52 +404,70 @@ def _labels(edges: DataFrame) -> DataFrame:
         labels = new.select("node", "label")
 
 
-def classes(docs: DataFrame) -> DataFrame:
-    """doc_id, class_id of every document: the least id of its near-duplicate class.
+def _labelled(docs: DataFrame) -> DataFrame:
+    """doc_id, text_key, label, class_id of every row; label is null for wordless texts. Stored.
 
-    Texts are compared by their lower-cased words. Null and wordless texts are alone, in a class of
-    their own id. Rows that repeat an id are listed as often; rows without an id take the class of
-    their text and never give it its id. Writes tables to scratch and runs jobs.
+    A text is a node by the number of one of its rows, so texts that share an id stay apart.
     """
     spark = docs.sparkSession
     path = scratch_path(spark, "shingles")
     made = stored_at(features(docs), path)
+    entries = [F.min(name).alias(name) for name in _ENTRY_COLUMNS]
     texts = stored(
-        made.groupBy("digest", "n_words").agg(F.min("doc_id").alias("rep"), F.min("sketch").alias("sketch")),
+        made.filter("n_words > 0").groupBy("digest", "n_words").agg(
+            F.min("row").alias("node"), F.min("doc_id").alias("least_id"), *entries
+        ),
         "texts",
     )
-    ids = stored(made.select("doc_id", "digest", "n_words"), "digests")
-    reps = texts.filter("rep IS NOT NULL")
-    met = stored(buckets(reps), "buckets")
+    ids = stored(made.select("doc_id", "text_key", "digest", "n_words"), "digests")
+    met = stored(buckets(texts), "buckets")
     # From here on only texts that share an entry with another one matter; their shingles move once.
-    wanted = reps.select("rep", "digest").join(met.select("rep").distinct(), "rep", "left_semi")
-    own = made.select(F.col("doc_id").alias("rep"), "digest", "shingles")
-    own = own.join(wanted, ["rep", "digest"], "left_semi").dropDuplicates(["rep", "digest"])
-    shingles = stored(own.select("rep", "shingles"), "candidates")
+    wanted = met.select("node").distinct()
+    shingles = stored(
+        made.select(F.col("row").alias("node"), "shingles").join(wanted, "node", "left_semi"), "candidates"
+    )
     remove_path(spark, path)
-    found = connected(met, reps, shingles)
-    named = texts.join(found, F.col("rep") == F.col("node"), "left").select(
-        "digest", "n_words", F.coalesce("label", "rep").alias("class_id")
+    found = connected(met, shingles)
+    named = texts.select("digest", "n_words", "node", "least_id").join(found, "node", "left")
+    named = stored(named.withColumn("label", F.coalesce("label", "node")).drop("node"), "labels")
+    least = named.groupBy("label").agg(F.min("least_id").alias("class_id"))
+    named = named.drop("least_id").join(least, "label")
+    # Wordless rows meet nothing here, so that they never gather in one task.
+    with_words = ids.filter("n_words > 0").join(named, ["digest", "n_words"])
+    wordless = ids.filter("n_words = 0").select(
+        "doc_id", "text_key", F.lit(None).cast("bigint").alias("label"), F.col("doc_id").alias("class_id")
     )
-    with_words = ids.join(named, ["digest", "n_words"]).select("doc_id", "class_id")
-    wordless = docs.filter(
-        F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD_CLASS)), F.lit(0)) == 0
-    ).select("doc_id", F.col("doc_id").alias("class_id"))
-    return with_words.union(wordless)
+    return with_words.select("doc_id", "text_key", "label", "class_id").union(wordless)
+
+
+def classes(docs: DataFrame) -> DataFrame:
+    """doc_id, class_id of every document: the least id of its near-duplicate class.
+
+    Texts are compared by their lower-cased words. Null and wordless texts are alone, in a class of
+    their own id. Rows that repeat an id are listed as often, each with the class of its own text; rows
+    without an id take the class of their text and never give it their id, so a class of nothing else
+    has none. Very long texts are compared whole. Writes tables to scratch and runs jobs.
+    """
+    return _labelled(docs).select("doc_id", "class_id")
 
 
 def dedupe(docs: DataFrame) -> DataFrame:
-    """One document of each class, the one with the least id, with its columns.
+    """One row of each class, the one with the least id, with its columns.
 
-    Rows without an id are all kept. Of rows that repeat the least id, one is kept.
+    Rows without an id are all kept. Where the least id is repeated in a class, the text with the least
+    hash stays, once. Wordless rows stay once for each id. Whole texts move once, to a narrow list of
+    those to keep, and once more only if that list has repeated rows.
     """
-    found = stored(classes(docs).filter("doc_id IS NOT NULL"), "classes")
-    counted = found.groupBy(F.col("doc_id").alias("of_doc")).agg(
-        F.count("*").alias("rows"), F.min("class_id").alias("class_id")
-    )
-    gone = counted.filter("class_id <> of_doc").select("of_doc")
-    repeated = counted.filter("rows > 1 AND class_id = of_doc").select("of_doc")
-    kept = docs.join(gone, docs["doc_id"] == gone["of_doc"], "left_anti")
-    once = kept.join(repeated, kept["doc_id"] == repeated["of_doc"], "left_anti")
-    several = kept.join(repeated, kept["doc_id"] == repeated["of_doc"], "left_semi")
-    return once.union(several.dropDuplicates(["doc_id"]))
+    rows = _labelled(docs).filter("doc_id IS NOT NULL")
+    alike = F.when(F.col("label").isNull(), F.col("doc_id")).alias("alone")
+    counts = rows.groupBy("label", alike, "doc_id", "text_key").agg(F.count("*").alias("n"))
+    first = F.min(F.struct("doc_id", "text_key", "n"))
+    keep = stored(counts.groupBy("label", "alone").agg(first.alias("keep")).select("keep.*"), "kept-rows")
+    name = free_name(docs, "text_key")
+    keyed = docs.withColumn(name, F.xxhash64("text"))
+    once = lambda some: keyed.join(some.withColumnRenamed("text_key", name), ["doc_id", name], "left_semi")
+    several = keep.filter("n > 1")
+    kept = once(keep.filter("n = 1"))
+    if not several.isEmpty():
+        kept = kept.union(once(several).dropDuplicates(["doc_id", name]))
+    return kept.select(*docs.columns).union(docs.filter("doc_id IS NULL"))
