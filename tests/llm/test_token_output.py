@@ -92,3 +92,28 @@ def test_empty_table(spark, tmp_path):
     docs = spark.createDataFrame([], "doc_id long, text string")
     token_output.write_tokens(docs, str(tmp_path / "none"))
     assert token_output.read_tokens(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_a_passage_in_many_copies_becomes_few_symbols():
+    random = np.random.default_rng(8)
+    passage = random.integers(0, 50_000, 1000).astype(np.uint32)
+    ids = np.tile(passage, 200)
+    firsts = np.zeros(len(ids), dtype=bool)
+    firsts[:: len(passage)] = True
+    packed, kept, rules = repair.compress(ids, firsts, 50_257, 1 << 16)
+    assert len(packed) <= 2 * 200 and kept.sum() == 200
+    decoder = repair.Decoder(rules, repair.expansion_lengths(rules, 50_257), 50_257)
+    assert (decoder.decode(packed) == ids).all()
+
+
+def test_no_frequent_pair_is_left():
+    random = np.random.default_rng(9)
+    ids = (random.zipf(1.2, 60_000) % 400).astype(np.uint32)
+    firsts = random.random(len(ids)) < 0.02
+    firsts[0] = True
+    packed, kept, _ = repair.compress(ids, firsts, 400, 1 << 16)
+    pairs = [tuple(p) for p, first in zip(np.stack([packed[:-1], packed[1:]], axis=1).tolist(), kept[1:]) if not first]
+    apart = {}
+    for k, pair in enumerate(pairs):
+        apart.setdefault(pair, []).append(k)
+    assert max(len(places) for places in apart.values()) < 2 * repair.LEAST_COUNT

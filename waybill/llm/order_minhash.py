@@ -243,9 +243,9 @@ def longest_increasing(values: np.ndarray) -> np.ndarray:
 
 def links(pairs: DataFrame, shingles: DataFrame) -> DataFrame:
     """The pairs that are near duplicates; `shingles` has node and shingles of every candidate."""
-    joined = pairs.join(shingles.select(F.col("node").alias("b"), F.col("shingles").alias("of_b")), "b").join(
-        shingles.select(F.col("node").alias("a"), F.col("shingles").alias("of_a")), "a"
-    )
+    # Both sides grow with the corpus: the same shuffled plan at every size, never a broadcast.
+    side = lambda node, own: shingles.select(F.col("node").alias(node), F.col("shingles").alias(own)).hint("merge")
+    joined = pairs.join(side("b", "of_b"), "b").join(side("a", "of_a"), "a")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -424,7 +424,7 @@ def _labelled(docs: DataFrame) -> DataFrame:
     # From here on only texts that share an entry with another one matter; their shingles move once.
     wanted = met.select("node").distinct()
     shingles = stored(
-        made.select(F.col("row").alias("node"), "shingles").join(wanted, "node", "left_semi"), "candidates"
+        made.select(F.col("row").alias("node"), "shingles").join(wanted.hint("merge"), "node", "left_semi"), "candidates"
     )
     remove_path(spark, path)
     found = connected(met, shingles)
@@ -465,7 +465,7 @@ def dedupe(docs: DataFrame) -> DataFrame:
     keep = stored(counts.groupBy("label", "alone").agg(first.alias("keep")).select("keep.*"), "kept-rows")
     name = free_name(docs, "text_key")
     keyed = docs.withColumn(name, F.xxhash64("text"))
-    once = lambda some: keyed.join(some.withColumnRenamed("text_key", name), ["doc_id", name], "left_semi")
+    once = lambda some: keyed.join(some.withColumnRenamed("text_key", name).hint("merge"), ["doc_id", name], "left_semi")
     several = keep.filter("n > 1")
     kept = once(keep.filter("n = 1"))
     if not several.isEmpty():

@@ -9,36 +9,35 @@ from __future__ import annotations
 
 import numpy as np
 
-#: A pair becomes a rule from this many occurrences on; rules per round and rounds at most.
-LEAST_COUNT, RULES_PER_ROUND, ROUNDS = 16, 4096, 4
+#: A pair becomes a rule from this many occurrences on: a rule takes 12 bytes, and saves a symbol of 2
+#: or 4 bytes an occurrence. Rules of a round at most.
+LEAST_COUNT, RULES_PER_ROUND = 8, 4096
 _BUCKET_BITS = 20
 
 
 def _rules(pairs: np.ndarray, inside: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(pairs that become rules, where they stand, which of them stands there).
+    """(pairs that become rules, most frequent first, where they stand, which of them stands there).
 
-    Pairs are counted by hash bucket, without a sort. Each of the fullest buckets gives one pair, the
-    last one in it; other pairs of such a bucket wait for a later round.
+    Pairs are first counted by hash bucket, without a sort; those of the fullest buckets, twice as many
+    as there can be rules, are counted exactly.
     """
     bits = pairs.dtype.itemsize * 8
     bucket = (pairs * pairs.dtype.type(0x9E3779B97F4A7C15 >> (64 - bits) | 1)) >> pairs.dtype.type(bits - _BUCKET_BITS)
     bucket = bucket.astype(np.int32)
-    counts = np.bincount(bucket[inside], minlength=1 << _BUCKET_BITS)
-    full = np.flatnonzero(counts >= LEAST_COUNT)
-    full = full[np.argsort(-counts[full], kind="stable")[:most]]
-    number = np.full(1 << _BUCKET_BITS, -1, dtype=np.int32)
-    number[full] = np.arange(len(full))
-    of = number[bucket]
-    at = np.flatnonzero((of >= 0) & inside)
-    of = of[at]
-    codes = np.zeros(len(full), dtype=pairs.dtype)
-    codes[of] = pairs[at]
-    same = pairs[at] == codes[of]
-    at, of = at[same], of[same]
-    enough = np.bincount(of, minlength=len(full)) >= LEAST_COUNT
-    renumbered = np.cumsum(enough) - 1
-    use = enough[of]
-    return codes[enough], at[use], renumbered[of[use]]
+    sizes = np.bincount(bucket[inside], minlength=1 << _BUCKET_BITS)
+    often = np.flatnonzero(sizes >= LEAST_COUNT)
+    if len(often) > 2 * most:
+        often = often[np.argsort(-sizes[often], kind="stable")[: 2 * most]]
+    full = np.zeros(1 << _BUCKET_BITS, dtype=bool)
+    full[often] = True
+    at = np.flatnonzero(full[bucket] & inside)
+    codes, of, counts = np.unique(pairs[at], return_inverse=True, return_counts=True)
+    chosen = np.argsort(-counts, kind="stable")[:most]
+    chosen = chosen[counts[chosen] >= LEAST_COUNT]
+    number = np.full(len(codes), -1, dtype=np.int64)
+    number[chosen] = np.arange(len(chosen))
+    of = number[of]
+    return codes[chosen], at[of >= 0], of[of >= 0]
 
 
 def compress(ids: np.ndarray, firsts: np.ndarray, vocabulary: int, symbols: int):
@@ -48,7 +47,7 @@ def compress(ids: np.ndarray, firsts: np.ndarray, vocabulary: int, symbols: int)
     """
     kind, half = (np.uint32, 16) if symbols <= 1 << 16 else (np.uint64, 32)
     sequence, rules = ids.astype(kind), np.zeros((0, 2), dtype=np.int64)
-    for _ in range(ROUNDS):
+    while True:
         room = min(RULES_PER_ROUND, symbols - vocabulary - len(rules))
         if room <= 0 or len(sequence) < 2:
             break

@@ -33,14 +33,18 @@ from waybill.llm.repair import Decoder, compress, expansion_lengths, ranges
 
 #: The tokenizer file and the id after each document.
 TOKENIZER, END_ID = "byte_bpe_50k.json", 2
-#: Tokens of a shard (one document at least), characters of texts encoded at once (one text at
-#: least), chunks kept with their ids, and new chunks encoded together.
-SHARD_TOKENS, ENCODE_CHARS, KEPT_CHUNKS, LINES_AT_ONCE = 1 << 20, 2 << 20, 600_000, 256
+#: Tokens of a shard (one document at least), bytes of texts encoded at once (one text at least), chunks
+#: kept with their ids, and new chunks encoded together.
+SHARD_TOKENS, ENCODE_BYTES, KEPT_CHUNKS, LINES_AT_ONCE = 1 << 20, 2 << 20, 1 << 20, 512
 #: Files are read in bins of about this many bytes.
 READ_BYTES = 32 << 20
 
-_CLOSING = ".,;:!?)]}|*$%&#\"-"
-_TWO_BLANKS = re.compile(r"\s\s")
+_byte = np.arange(256)
+_LETTER = ((_byte | 0x20) >= 0x61) & ((_byte | 0x20) <= 0x7A) & (_byte < 0x80)
+_CLOSING = np.isin(_byte, list(b".,;:!?)]}|*$%&#\"-"))
+_BLANK = ((_byte >= 0x09) & (_byte <= 0x0D)) | ((_byte >= 0x1C) & (_byte <= 0x20))
+#: White space from U+0080 on, in UTF-8.
+_WIDE_BLANKS = [chr(x).encode() for x in (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
 _SINGLE_BLANK = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -57,9 +61,11 @@ class Encoder:
     """Ids of whole texts, as the tokenizer gives them, with the ids of recurring chunks kept.
 
     A byte-level pre-tokenizer always parts a text before a single space between other characters,
-    and around a single line feed, so chunks between those are encoded on their own and the results
-    joined; new chunks go through the tokenizer together, as lines of one text. Texts with a special
-    token's string in them, and all texts of other tokenizers, are encoded as a whole.
+    around a single line feed and between an ASCII letter and closing punctuation, so chunks between
+    those are encoded on their own and the results joined; new chunks go through the tokenizer together,
+    as lines of one text. Equal chunks are found by 64-bit hash. Texts with two white-space characters in
+    a row are cut at single spaces only; texts with a special token's string in them, and all texts of
+    other tokenizers, are encoded as a whole.
     """
 
     def __init__(self, name: str):
@@ -67,8 +73,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path(name))
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
-        self.kept: dict[str, bytes] = {}
+        self.special = [token.content.encode() for token in self.tokenizer.get_added_tokens_decoder().values()]
         parts = json.loads(self.tokenizer.to_str())
         splits = parts["pre_tokenizer"] or {}
         line = self.tokenizer.encode("\n", add_special_tokens=False).ids
@@ -80,96 +85,173 @@ class Encoder:
             and len(line) == 1
         )
         self.line = line[0] if line else None
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
-
-    def _keep(self, chunks: list[str]) -> None:
-        """Letters and the punctuation after them are pieces of their own; new pieces are encoded."""
-        lines, rest, pairs = set(), [], []
-        for chunk in chunks:
+        self._forget()
+
+    def _forget(self) -> None:
+        """Nothing kept: hashes in order, and where the ids of each chunk are in `ids`."""
+        self.hashes = np.zeros(0, dtype=np.uint64)
+        self.places = np.zeros(0, dtype=np.int64)
+        self.sizes = np.zeros(0, dtype=np.int64)
+        self.ids = np.zeros(0, dtype="<u4")
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(x.ids, dtype="<u4") for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _ids_of(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, how many) of chunks, one after the other."""
+        plain = np.zeros(len(chunks), dtype=bool)
+        for k, chunk in enumerate(chunks):
             bare = chunk[1:] if chunk[:1] == " " else chunk
-            head = bare.rstrip(_CLOSING)
-            if head != bare and head.isalpha():
-                head = chunk[: len(chunk) - len(bare) + len(head)]
-                pairs.append((chunk, head, chunk[len(head) :]))
-                lines.update(pairs[-1][1:])
-            elif bare.split() == [bare]:
-                lines.add(chunk)
-            else:
-                rest.append(chunk)
-        kept = self.kept
-        kept.update(zip(rest, self._encode(rest), strict=True))
-        plain = [line for line in lines if line not in kept]
-        for row in range(0, len(plain), LINES_AT_ONCE):
-            part = plain[row : row + LINES_AT_ONCE]
-            ids = np.array(self.tokenizer.encode("\n".join(part), add_special_tokens=False).ids, dtype="<u4")
-            ends = [*np.flatnonzero(ids == self.line).tolist(), len(ids)]
-            packed, begin = ids.tobytes(), 0
-            for line, end in zip(part, ends, strict=True):
-                kept[line] = packed[4 * begin : 4 * end]
-                begin = end + 1
-        for chunk, head, tail in pairs:
-            kept[chunk] = kept[head] + kept[tail]
-
-    @staticmethod
-    def chunks(text: str) -> list[str]:
-        first, *rest = _SINGLE_BLANK.split(text)
-        return [first, *[" " + chunk for chunk in rest]]
-
-    def _cached(self, chunks: list[str]) -> None:
-        new = [chunk for chunk in chunks if chunk not in self.kept]
-        if len(self.kept) + len(new) > KEPT_CHUNKS:
-            self.kept.clear()
-            new = chunks
-        self._keep(new)
-
-    def _by_hash(self, data: bytes, begins: np.ndarray) -> list[bytes]:
-        """Ids of texts whose blanks are all single: equal chunks are found by 64-bit hash."""
-        raw = np.frombuffer(data, dtype=np.uint8)
+            plain[k] = bare.split() == [bare]
+        sizes, order, parts = np.zeros(len(chunks), dtype=np.int64), [], []
+        lines = np.flatnonzero(plain)
+        for row in range(0, len(lines), LINES_AT_ONCE):
+            part = lines[row : row + LINES_AT_ONCE]
+            ids = self._encode(["\n".join([chunks[k] for k in part.tolist()])])[0]
+            ends = np.append(np.flatnonzero(ids == self.line), len(ids))
+            sizes[part] = np.diff(ends, prepend=-1) - 1
+            parts.append(ids[ids != self.line])
+            order.append(part)
+        rest = np.flatnonzero(~plain)
+        for k, ids in zip(rest.tolist(), self._encode([chunks[k] for k in rest.tolist()]), strict=True):
+            sizes[k] = len(ids)
+            parts.append(ids)
+        order = np.concatenate([*order, rest]).astype(np.int64)
+        flat = np.concatenate([*parts, np.zeros(0, dtype="<u4")])
+        begins = np.zeros(len(chunks), dtype=np.int64)
+        begins[order] = np.cumsum(sizes[order]) - sizes[order]
+        return flat[ranges(begins, sizes)], sizes
+
+    def _kept(self, hashes: np.ndarray, chunks) -> np.ndarray:
+        """Places in `hashes` kept of distinct `hashes` in order; `chunks` gives the text of some of them."""
+        at = np.searchsorted(self.hashes, hashes)
+        old = np.zeros(len(hashes), dtype=bool)
+        inside = at < len(self.hashes)
+        old[inside] = self.hashes[at[inside]] == hashes[inside]
+        if len(self.hashes) + len(hashes) - old.sum() > KEPT_CHUNKS:
+            self._forget()
+            old[:] = False
+        new = np.flatnonzero(~old)
+        if len(new):
+            ids, sizes = self._ids_of(chunks(new))
+            put = np.searchsorted(self.hashes, hashes[new])
+            self.places = np.insert(self.places, put, len(self.ids) + np.cumsum(sizes) - sizes)
+            self.sizes = np.insert(self.sizes, put, sizes)
+            self.hashes = np.insert(self.hashes, put, hashes[new])
+            self.ids = np.concatenate([self.ids, ids])
+        return np.searchsorted(self.hashes, hashes)
+
+    def _joined(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, of_text: np.ndarray, texts: int) -> list[bytes]:
+        """Ids of texts from their chunks, byte ranges of `raw` in order."""
+        cuts = np.append(np.flatnonzero(np.diff(starts // RUN_BYTES, prepend=-1)), len(starts))
+        hashes = [hash_spans(raw, starts[i:j], ends[i:j]) for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
+        hashes, first, which = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
+        data = raw.tobytes()
+
+        def chunks(some: np.ndarray) -> list[str]:
+            spans = zip(starts[first[some]].tolist(), ends[first[some]].tolist(), strict=True)
+            return [data[i:j].decode() for i, j in spans]
+
+        at = self._kept(hashes, chunks)
+        sizes = self.sizes[at][which]
+        flat = self.ids[ranges(self.places[at][which], sizes)].tobytes()
+        counts = np.bincount(of_text, weights=sizes, minlength=texts).astype(np.int64)
+        ends_of = [0, *(4 * np.cumsum(counts)).tolist()]
+        return [flat[i:j] for i, j in zip(ends_of[:-1], ends_of[1:], strict=True)]
+
+    def _by_bytes(self, raw: np.ndarray, begins: np.ndarray) -> list[bytes]:
+        """Ids of non-empty texts without two blanks in a row."""
         opens = (raw == 0x20) | (raw == 0x0A)
         opens[1:] |= raw[:-1] == 0x0A
+        opens[1:] |= _CLOSING[raw[1:]] & _LETTER[raw[:-1]]
         opens[begins[:-1]] = True
         starts = np.flatnonzero(opens)
-        ends = np.append(starts[1:], len(raw))
-        cuts = np.append(np.flatnonzero(np.diff(starts // RUN_BYTES, prepend=-1)), len(starts))
-        hashes = np.concatenate([hash_spans(raw, starts[i:j], ends[i:j]) for i, j in zip(cuts[:-1], cuts[1:], strict=True)])
-        _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
-        chunks = [data[i:j].decode() for i, j in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
-        self._cached(chunks)
-        ids = [self.kept[chunk] for chunk in chunks]
-        table = np.frombuffer(b"".join(ids), dtype="<u4")
-        sizes = np.array([len(x) // 4 for x in ids], dtype=np.int64)
-        places = np.cumsum(sizes) - sizes
-        flat = table[ranges(places[which], sizes[which])].tobytes()
         of_text = np.searchsorted(begins, starts, side="right") - 1
-        counts = np.bincount(of_text, weights=sizes[which], minlength=len(begins) - 1).astype(np.int64)
-        at = [0, *(4 * np.cumsum(counts)).tolist()]
-        return [flat[i:j] for i, j in zip(at[:-1], at[1:], strict=True)]
+        return self._joined(raw, starts, np.append(starts[1:], len(raw)), of_text, len(begins) - 1)
+
+    def _by_spaces(self, texts: list[str]) -> list[bytes]:
+        """Ids of any non-empty texts without special tokens."""
+        chunks, counts = [], []
+        for text in texts:
+            first, *rest = _SINGLE_BLANK.split(text)
+            chunks += [first.encode(), *[b" " + chunk.encode() for chunk in rest]]
+            counts.append(1 + len(rest))
+        ends = np.cumsum([len(chunk) for chunk in chunks])
+        raw = np.frombuffer(b"".join(chunks), dtype=np.uint8)
+        starts = np.concatenate([[0], ends[:-1]])
+        return self._joined(raw, starts, ends, np.repeat(np.arange(len(texts)), counts), len(texts))
+
+    def _kinds(self, raw: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which texts hold a special token's string, and which two blanks in a row (or blanks beyond ASCII)."""
+        special, blanks = np.zeros(len(begins) - 1, dtype=bool), np.zeros(len(begins) - 1, dtype=bool)
+        of = lambda at: np.searchsorted(begins, at, side="right") - 1
+        data = raw.tobytes()
+        for token in self.special:
+            at = data.find(token)
+            while at >= 0:
+                text = int(of(at))
+                special[text] |= at + len(token) <= begins[text + 1]
+                at = data.find(token, at + 1)
+        blank = _BLANK[raw]
+        double = np.flatnonzero(blank[1:] & blank[:-1])
+        blanks[of(double)[of(double) == of(double + 1)]] = True
+        held = {prefix for prefix in {wide[:2] for wide in _WIDE_BLANKS} if data.find(prefix) >= 0}
+        for wide in (wide for wide in _WIDE_BLANKS if wide[:2] in held):
+            at = data.find(wide)
+            while at >= 0:
+                text = int(of(at))
+                blanks[text] = True
+                at = data.find(wide, int(begins[text + 1]))
+        return special, blanks
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        out: list[bytes] = [b""] * len(texts)
-        regular = []
-        for k, text in enumerate(texts):
-            if not self.by_chunks or any(s in text for s in self.special):
-                out[k] = self._encode([text])[0]
-            elif _TWO_BLANKS.search(text):
-                parts = self.chunks(text)
-                self._cached(list(dict.fromkeys(parts)))
-                out[k] = b"".join([self.kept[chunk] for chunk in parts])
-            elif text:
-                regular.append(k)
-        if regular:
-            packed = [texts[k].encode() for k in regular]
-            begins = np.concatenate([[0], np.cumsum([len(p) for p in packed])]).astype(np.int64)
-            for k, ids in zip(regular, self._by_hash(b"".join(packed), begins), strict=True):
+        """32-bit little-endian ids of each text."""
+        return [ids for part in self.encode_column(pa.array(texts, type=pa.large_string())) for ids in part]
+
+    def encode_column(self, column: pa.Array) -> Iterator[list[bytes]]:
+        """The same of a column of texts, null as empty, for ENCODE_BYTES at a time."""
+        column = column.cast(pa.large_string()).fill_null("")
+        if not len(column):
+            return
+        offsets = np.frombuffer(column.buffers()[1], dtype=np.int64)[column.offset :][: len(column) + 1]
+        data = column.buffers()[2]
+        data = np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, dtype=np.uint8)
+        row = 0
+        while row < len(column):
+            end = max(row + 1, int(np.searchsorted(offsets, offsets[row] + ENCODE_BYTES, side="right")) - 1)
+            end = min(end, len(column))
+            yield self._group(data[offsets[row] : offsets[end]], offsets[row : end + 1] - offsets[row])
+            row = end
+
+    def _group(self, raw: np.ndarray, begins: np.ndarray) -> list[bytes]:
+        out: list[bytes] = [b""] * (len(begins) - 1)
+        text = lambda k: raw[begins[k] : begins[k + 1]].tobytes().decode()
+        full = np.diff(begins) > 0
+        if self.by_chunks:
+            special, blanks = self._kinds(raw, begins)
+        else:
+            special, blanks = full, np.zeros(len(full), dtype=bool)
+        whole, spaced = np.flatnonzero(full & special).tolist(), np.flatnonzero(full & blanks & ~special).tolist()
+        regular = np.flatnonzero(full & ~blanks & ~special)
+        for k, ids in zip(whole, self._encode([text(k) for k in whole]), strict=True):
+            out[k] = ids.tobytes()
+        if spaced:
+            for k, ids in zip(spaced, self._by_spaces([text(k) for k in spaced]), strict=True):
+                out[k] = ids
+        if len(regular):
+            lengths = np.diff(begins)[regular]
+            own = raw if lengths.sum() == len(raw) else raw[ranges(begins[regular], lengths)]
+            edges = np.concatenate([[0], np.cumsum(lengths)])
+            for k, ids in zip(regular.tolist(), self._by_bytes(own, edges), strict=True):
                 out[k] = ids
         return out
 
 
 def process_encoder(name: str) -> Encoder:
-    """One encoder per worker process, with what it keeps; workers live on from task to task."""
+    """One encoder per worker process, with what it keeps; workers live on from task to task.
+
+    Workers import this module anew for each task, so a global of it would start empty every time.
+    """
     kept = sys.modules.setdefault("_waybill_encoders", ModuleType("_waybill_encoders")).__dict__
     if name not in kept:
         kept[name] = Encoder(name)
@@ -286,20 +368,6 @@ def read_shards(store, path: str, size: int) -> Iterator[Shard]:
             yield Shard(source.read(bytes_of))
 
 
-def _groups(batch: pa.RecordBatch) -> Iterator[tuple[list, list[str]]]:
-    """Ids and texts of a batch in groups of about ENCODE_CHARS characters."""
-    ids, texts, held = [], [], 0
-    for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-        ids.append(doc_id)
-        texts.append(text)
-        held += len(text)
-        if held >= ENCODE_CHARS:
-            yield ids, texts
-            ids, texts, held = [], [], 0
-    if ids:
-        yield ids, texts
-
-
 def write_tokens(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, end_id: int = END_ID) -> None:
     """Encode every document and write the files and their manifest under `path`; runs a job.
 
@@ -317,9 +385,10 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, end_id:
             if out is None:
                 encoder = process_encoder(tokenizer)
                 out = _File(path, encoder.vocabulary)
-            for ids, texts in _groups(batch):
-                for doc_id, encoded in zip(ids, encoder.encode(texts), strict=True):
-                    out.add(doc_id, encoded + end)
+            ids = iter(batch.column("doc_id").to_pylist())
+            for part in encoder.encode_column(batch.column("text")):
+                for encoded in part:
+                    out.add(next(ids), encoded + end)
         if out is not None:
             entry = out.close() | {"part": TaskContext.get().partitionId()}
             yield pa.RecordBatch.from_pylist([entry], schema=_ENTRY)
