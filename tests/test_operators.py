@@ -165,6 +165,70 @@ def test_sequence_of_many_busy_entities(spark, ts):
     assert "Limit" not in got._jdf.queryExecution().toString()
 
 
+@pytest.fixture
+def many_ranges(spark):
+    """Ranges and batches of a few rows, so that entities reach over many of both."""
+    settings = {
+        "spark.sql.shuffle.partitions": "9",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "7",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+@pytest.mark.parametrize("seed", [4, 5, 6])
+def test_sequence_over_many_ranges_and_batches(spark, ts, many_ranges, seed):
+    events = random_events(spark, ts, seed, 400)
+    got = seq.sequence_events(events, "person", "event", "at")
+    assert rows(got) == rows(plain_window(events))
+
+
+def test_one_day_of_one_person_is_spread_over_the_ranges(spark, ts, many_ranges):
+    data = [("hot", f"e{i:04d}", ts("2020-01-01 10:00")) for i in range(900)]
+    events = spark.createDataFrame([("a", "x", None), (None, None, None), *data, ("z", "y", None)], EVENTS)
+    got = seq.sequence_events(events, "person", "event", "at")
+    assert rows(got) == rows(plain_window(events))
+    stored = got._jdf.queryExecution().analyzed().collectLeaves().head().toString()
+    assert "_range" in stored
+    scanned = spark.read.parquet(got.inputFiles()[0].rsplit("/", 1)[0])
+    sizes = [r["count"] for r in scanned.groupBy("_range").count().collect()]
+    assert len(sizes) == 9 and max(sizes) < 3 * len(data) / 9
+
+
+@pytest.mark.parametrize("seed", [7, 8])
+def test_a_sequence_with_outcomes_gives_the_same_retention(spark, ts, many_ranges, seed):
+    events = random_events(spark, ts, seed, 500)
+    firsts = plain_window(events).filter("event_seq = 1").select("person", "event", "at")
+    chosen = events.filter(F.pmod(F.crc32("event"), F.lit(3)) > 0).union(firsts).distinct()
+    delay = F.make_dt_interval(F.pmod(F.crc32("event"), F.lit(9)).cast("int") - 2)
+    outcomes = chosen.select(
+        "person", "event", "at",
+        F.when(F.pmod(F.crc32("event"), F.lit(7)) > 0, F.coalesce("at", F.lit(ts("2020-01-05 00:00"))) + delay).alias("done"),
+    )
+    # Outcomes of events that are not in the sequence change nothing.
+    stray = spark.createDataFrame([("hot", "nothing", ts("2020-01-02 00:00"), ts("2020-01-03 00:00"))], outcomes.schema)
+    common = dict(
+        entity="person", ts="at", outcome_event="event", outcome_ts="done",
+        data_end=F.lit(ts("2020-01-28 02:00")), window_days=4,
+    )
+    plain = seq.sequence_events(events, "person", "event", "at")
+    carried = seq.sequence_events(events, "person", "event", "at", outcomes.union(stray), "done")
+    assert rows(carried.drop(seq.FIRST_OUTCOME)) == rows(plain)
+    got, want = (first_event_retention(s, outcomes, **common) for s in (carried, plain))
+    assert want.filter("next_order_at is not null").count() > 10
+    assert rows(got) == rows(want)
+
+
+def test_sequence_of_nothing(spark):
+    events = spark.createDataFrame([], EVENTS)
+    assert seq.sequence_events(events, "person", "event", "at").collect() == []
+
+
 def literal_retention(events, outcomes, end, days):
     """The definition, as self-joins: first event, its outcome, earliest later event."""
     numbered = plain_window(events)

@@ -79,9 +79,10 @@ def _sequence(spark, sf) -> DataFrame:
 def _retention(spark, sf, params=PARAMS, fact=None) -> DataFrame:
     """`fact` is a stored fact when the caller needs one for itself as well."""
     t = derive.typed(spark, sf)
+    fact = facts.build_fct_orders(t) if fact is None else fact
     return facts.first_order_retention(
-        facts.customer_sequence(t),
-        facts.build_fct_orders(t) if fact is None else fact,
+        facts.customer_sequence(t, fact),
+        fact,
         t["stg_orders"],
         params,
     )
@@ -425,7 +426,8 @@ def _lateness(spark, sf):
     # Read twice, for reviews and for retention: store the few columns both need.
     fact = scratch_table(
         _fact(spark, sf).select(
-            "order_id", "delivered_at", "lateness_bucket", "review_score", "is_negative_review"
+            "order_id", "customer_unique_id", "purchased_at", "delivered_at", "lateness_bucket",
+            "review_score", "is_negative_review",
         ),
         "fct_orders",
     )

@@ -172,8 +172,11 @@ def build_fct_orders(t: Tables) -> DataFrame:
     )
 
 
-def customer_sequence(t: Tables) -> DataFrame:
-    """Every order of a person in time, canceled and unavailable ones left out."""
+def customer_sequence(t: Tables, fct_orders: DataFrame | None = None) -> DataFrame:
+    """Every order of a person in time, canceled and unavailable ones left out.
+
+    With the fact, it also carries when each person's first order was delivered.
+    """
     orders = t["stg_orders"]
     people = t["stg_customers"].select("customer_id", "customer_unique_id")
     kept = orders.filter(~F.col("order_status").isin(*NOT_AN_ORDER))
@@ -181,10 +184,7 @@ def customer_sequence(t: Tables) -> DataFrame:
         "customer_unique_id", "order_id", "purchased_at"
     )
     return sequence_events(
-        events,
-        "customer_unique_id",
-        "order_id",
-        "purchased_at",
+        events, "customer_unique_id", "order_id", "purchased_at", outcomes=fct_orders, outcome_ts="delivered_at"
     )
 
 

@@ -18,7 +18,7 @@ from waybill.plans.report import summary_lines
 from waybill.sources.extracts import export_extracts, write_csv, write_json
 from waybill.sources.raw import read_raw_zone
 from waybill.sources.staging import stage_all
-from waybill.sources.storage import drop_scratch, scratch_mark, scratch_table, write_table
+from waybill.sources.storage import drop_scratch, scratch_mark, write_table
 
 
 def build_tables(
@@ -39,7 +39,7 @@ def build_tables(
         store(name, df)
     # By month, so that the dashboard's month range reads only its own files.
     store("fct_orders", build_fct_orders(tables), partition_by="order_month")
-    sequence = scratch_table(customer_sequence(tables), "sequence")
+    sequence = customer_sequence(tables, tables["fct_orders"])
     store("customer_orders", customer_orders(sequence))
     store(
         "first_order_retention",
