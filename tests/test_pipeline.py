@@ -10,6 +10,7 @@ from waybill.plans import bi, charts, report
 from waybill.plans.job import run_pipeline
 from waybill.sources.extracts import read_json_as
 from waybill.sources.raw import require_inputs
+from waybill.sources.snapshots import read_tables, versions
 from waybill.sources.storage import shared_folder
 
 PARAMS = Params(window_days=60, min_seller_orders=2)
@@ -244,6 +245,43 @@ def test_summary_reads_in_full(out):
     )
 
 
+def test_the_tables_are_one_version(spark, built, out):
+    stored = read_tables(spark, str(out / "tables"))
+    assert stored.keys() == built.keys() and len(stored) == 20
+    for name in ("fct_orders", "mart_seller", "retention_test"):
+        assert stored[name].columns == built[name].columns
+        assert sorted(map(str, stored[name].collect())) == sorted(map(str, built[name].collect()))
+
+
+def test_a_run_that_dies_leaves_the_tables_before_it(spark, tmp_path, monkeypatch):
+    raw, out = marketplace.write(tmp_path / "zone"), str(tmp_path / "out")
+    run_pipeline(spark, raw, out, PARAMS)
+    before = read_tables(spark, f"{out}/tables")["fct_orders"].count()
+    (Path(raw) / "shop_orders_dataset.csv").write_text(
+        "".join((Path(raw) / "shop_orders_dataset.csv").read_text().splitlines(keepends=True)[:6])
+    )
+
+    def dies(*_):
+        raise RuntimeError("driver lost")
+
+    monkeypatch.setattr("waybill.plans.job.build_marts", dies)
+    with pytest.raises(RuntimeError):
+        run_pipeline(spark, raw, out, PARAMS)
+    assert versions(spark, f"{out}/tables") == [1]
+    assert read_tables(spark, f"{out}/tables")["fct_orders"].count() == before > 0
+
+
+def test_the_job_reads_the_fact_once_for_all_marts(spark, built, out):
+    from waybill.plans.marts import fact_states
+
+    fact = read_tables(spark, str(out / "tables"))["fct_orders"]
+    plan = fact_states(fact)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan parquet") == 1 and plan.count("Exchange") == 1
+    states = fact_states(fact).collect()
+    per_key = {key: sum(r.orders for r in states if r.grouping == key) for key in {r.grouping for r in states}}
+    assert len(per_key) == 6 and set(per_key.values()) == {fact.count()}
+
+
 def test_nothing_is_left_in_the_shared_folder(spark, tmp_path):
     folder = Path(shared_folder(spark))
     before = set(folder.iterdir()) if folder.exists() else set()
@@ -305,6 +343,7 @@ def test_each_failing_check_is_reported_before_the_job_stops(spark, tmp_path):
     )
     with pytest.raises(QualityError):
         run_pipeline(spark, raw, str(tmp_path / "out"), PARAMS)
+    assert versions(spark, str(tmp_path / "out" / "tables")) == []
     written = spark.read.csv(str(tmp_path / "out" / "quality_checks.csv"), header=True)
     failing = {r.check_name: int(r.failing_rows) for r in written.collect()}
     assert {name: n for name, n in failing.items() if n} == {

@@ -5,7 +5,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from waybill.sources import staging
+from waybill.sources import snapshots, staging
 from waybill.sources.extracts import read_csv_as, write_csv
 from waybill.sources.raw import read_raw
 from waybill.sources.storage import scratch_table, shared_folder, write_table
@@ -106,3 +106,62 @@ def test_part_files_must_agree(spark, tmp_path, second, stops):
                 frame.collect()
     else:
         assert sorted(map(str, read.collect())) == ["Row(a='1', b=None)", "Row(a='x', b='y')"]
+
+
+def _stored(spark, root, version=None):
+    frame = snapshots.read_tables(spark, root, version)["t"]
+    return sorted(tuple(r) for r in frame.collect())
+
+
+def test_a_refresh_is_seen_whole_or_not_at_all(spark, tmp_path):
+    root = str(tmp_path / "tables")
+    with pytest.raises(FileNotFoundError):
+        snapshots.read_tables(spark, root)
+    first = snapshots.Refresh(spark, root)
+    first.write("t", spark.createDataFrame([(1, "a"), (2, "b")], "n bigint, month string"), "n")
+    assert snapshots.versions(spark, root) == []
+    assert first.commit() == 1
+
+    @F.udf("bigint")
+    def dies(n):
+        if n == 9:
+            raise RuntimeError("lost in the middle")
+        return n
+
+    second = snapshots.Refresh(spark, root)
+    second.write("u", spark.range(3))
+    with pytest.raises(PySparkException):
+        second.write("t", spark.range(10).repartition(5).select(dies("id").alias("n")))
+    assert snapshots.versions(spark, root) == [1]
+    assert _stored(spark, root) == [(1, "a"), (2, "b")]
+    assert snapshots.read_tables(spark, root)["t"].columns == ["n", "month"]
+
+
+def test_versions_roll_back_and_are_cleaned_up(spark, tmp_path):
+    root = str(tmp_path / "tables")
+    for n in range(3):
+        refresh = snapshots.Refresh(spark, root)
+        refresh.write("t", spark.createDataFrame([(n,)], "n bigint"))
+        assert refresh.commit() == n + 1
+    assert _stored(spark, root) == [(2,)] and _stored(spark, root, 1) == [(0,)]
+    old = snapshots.read_tables(spark, root, 2)["t"]
+    assert snapshots.roll_back(spark, root, 1) == 4
+    assert _stored(spark, root) == [(0,)]
+    lost = snapshots.Refresh(spark, root)
+    lost.write("t", spark.range(1))
+    # Young data stays, whether a commit names it or not.
+    assert snapshots.clean_up(spark, root, keep=2) == []
+    assert snapshots.versions(spark, root) == [3, 4]
+    assert [r.n for r in old.collect()] == [1]
+    assert len(snapshots.clean_up(spark, root, keep=2, min_age_hours=0)) == 2
+    assert _stored(spark, root, 3) == [(2,)] and _stored(spark, root, 4) == [(0,)]
+    with pytest.raises(FileNotFoundError):
+        snapshots.read_tables(spark, root, 2)
+
+
+def test_a_commit_number_taken_by_another_run_is_not_overwritten(spark, tmp_path):
+    folder = snapshots.Folder(spark, str(tmp_path / "tables"))
+    assert folder.write_new("commits/0000000001.json", "mine")
+    assert not folder.write_new("commits/0000000001.json", "theirs")
+    assert folder.read("commits/0000000001.json") == "mine"
+    assert folder.names("commits") == ["0000000001.json"]

@@ -294,6 +294,44 @@ _BI = """COUNT(*) AS orders, SUM(is_late::INTEGER) AS late_orders,
     AVG(is_late::INTEGER) AS late_rate, AVG(score) AS avg_review,
     AVG((score <= 2)::INTEGER) AS negative_review_rate, AVG(distance_km) AS avg_distance_km"""
 
+# Extracts of the marts: the subquery that holds each, its key and its figures.
+_MART_EXTRACTS = {
+    "lateness": ("lateness", _LATENESS_COLUMNS),
+    "state": ("state", _STATE_COLUMNS),
+    "seller": (
+        "seller",
+        "seller_id:n orders:n late_orders:n late_rate:r avg_review:r item_value:m "
+        "share_of_all_late_orders:r late_rate_decile:n",
+    ),
+    "monthly": ("monthly", _MONTHLY_COLUMNS),
+    "distance": ("distance", _DISTANCE_COLUMNS),
+    "late_vs_ontime": (
+        "late_split",
+        "delivery:s orders:n avg_review:r negative_review_rate:r five_star_rate:r avg_delivery_days:r",
+    ),
+    "retention_late_vs_ontime": (
+        "repeat_split",
+        "first_delivery:s customers:n repeat_customers:n repeat_rate:r",
+    ),
+}
+
+
+def _figures() -> str:
+    """A row per extract, group and figure."""
+    parts = []
+    for extract, (source, columns) in _MART_EXTRACTS.items():
+        key, *figures = columns.split()
+        item = _KINDS[key.split(":")[1]].format(c=key.split(":")[0])
+        for figure in figures:
+            name, kind = figure.split(":")
+            parts.append(
+                f"SELECT '{extract}' AS extract, CAST({item} AS VARCHAR) AS item, "
+                f"'{name}' AS figure, CAST({_KINDS[kind].format(c=name)} AS DOUBLE) AS value FROM {source}"
+            )
+    uses = " ".join(source for source, _ in _MART_EXTRACTS.values())
+    return shaped("extract:s item:s figure:s value:r", uses, " UNION ALL ".join(parts))
+
+
 _TEST_COLUMNS = """on_time_customers:n late_customers:n on_time_repeat:n late_repeat:n p1:r p2:r
     diff:r relative_diff:r z:r ci_low:r ci_high:r"""
 
@@ -582,6 +620,8 @@ def statements() -> dict[str, str]:
         ),
         "mart_monthly": shaped(_MONTHLY_COLUMNS, "monthly", "FROM monthly"),
         "mart_distance": shaped(_DISTANCE_COLUMNS, "distance", "FROM distance"),
+        "job_extracts": _figures(),
+        "job_orders_extract": shaped(_EXTRACT_COLUMNS, "f", f"SELECT {_FACT} FROM f"),
         "job_distance_extract": shaped(_DISTANCE_COLUMNS, "distance", "FROM distance"),
         "quality_checks": shaped(
             "check_name:s failing_rows:n", "f r cust sell prod rev", _checks()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
-from functools import cache, wraps
+from functools import cache, reduce, wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +16,7 @@ from waybill.operators import proportions, quality, ranking, shares
 from waybill.operators.sequence import sequence_events
 from waybill.params import COUNTRY_BOX, Params
 from waybill.plans import bi, charts, facts, job, marts, report
-from waybill.sources import extracts, raw, staging
+from waybill.sources import extracts, raw, snapshots, staging
 from waybill.sources.storage import scratch_path, scratch_table, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -333,8 +333,8 @@ def agg_payments(spark, sf):
 @query
 def late_rate(spark, sf):
     return _fact(spark, sf).groupBy("main_category").agg(
-        marts.late_rate().alias("late_rate"),
-        marts.negative_rate().alias("negative_review_rate"),
+        measures.rate(F.col("is_late")).alias("late_rate"),
+        measures.rate(F.col("is_negative_review")).alias("negative_review_rate"),
         measures.hits(F.col("is_late")).alias("late_orders"),
     )
 
@@ -481,6 +481,42 @@ def job_distance_extract(spark, sf):
     )
 
 
+@query
+def job_extracts(spark, sf):
+    """The whole job, and every figure of its seven mart extracts read back: a row per figure."""
+    zone, out = scratch_path(spark, "raw"), scratch_path(spark, "out")
+    for name, frame in derive.raw_text(spark, sf).items():
+        extracts.write_csv(frame, f"{zone}/{raw.RAW_INPUTS[name]}")
+    tables = job.run_pipeline(spark, zone, out, PARAMS)
+    figures = []
+    for name, (table, _) in extracts.EXTRACTS.items():
+        if table != "fct_orders":
+            mart = extracts.read_csv_as(spark, f"{out}/extracts/{name}.csv", tables[table])
+            item, *rest = [c for c in mart.columns if c != "seller_state"]
+            values = {c: F.col(c).cast("double") for c in rest}
+            values |= {c: F.rint(values[c] * 1e2) / 1e2 for c in CENTS if c in values}
+            long = mart.select(F.col(item).cast("string"), *[v.alias(c) for c, v in values.items()])
+            figures.append(
+                long.unpivot(item, rest, "figure", "value").select(
+                    F.lit(name).alias("extract"), F.col(item).alias("item"), "figure", "value"
+                )
+            )
+    return reduce(DataFrame.union, figures)
+
+
+@query
+def job_orders_extract(spark, sf):
+    """The orders extract of the job's newest version of the tables, read back from CSV."""
+    zone, out = scratch_path(spark, "raw"), scratch_path(spark, "out")
+    for name, frame in derive.raw_text(spark, sf).items():
+        extracts.write_csv(frame, f"{zone}/{raw.RAW_INPUTS[name]}")
+    job.run_pipeline(spark, zone, out, PARAMS)
+    stored = extracts.extract_orders(snapshots.read_tables(spark, f"{out}/tables")["fct_orders"])
+    orders = extracts.read_csv_as(spark, f"{out}/extracts/orders.csv", stored)
+    # Ids are text in raw files.
+    return orders.withColumns({c: F.col(c).cast("bigint") for c in ("order_id", "main_seller_id")})
+
+
 # --- quality, statistics, report, dashboard, charts ----------------------------------------
 
 

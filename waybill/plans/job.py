@@ -18,22 +18,22 @@ from waybill.plans.report import summary_lines
 from waybill.sources.extracts import export_extracts, write_csv, write_json
 from waybill.sources.raw import read_raw_zone
 from waybill.sources.staging import stage_all
-from waybill.sources.storage import drop_scratch, scratch_mark, write_table
+from waybill.sources.snapshots import Refresh, clean_up
+from waybill.sources.storage import drop_scratch, scratch_mark
 
 
 def build_tables(
-    spark: SparkSession, raw_dir: str, table_dir: str, params: Params = Params()
+    spark: SparkSession, raw_dir: str, refresh: Refresh, params: Params = Params()
 ) -> dict[str, DataFrame]:
     """Write the 8 staging tables, the fact, both customer tables and the 7 marts.
 
     Each stage reads the stored result of the one before, so its joins know real sizes, and the
-    work of a lost executor is redone from files.
+    work of a lost executor is redone from files. Nothing is visible before the refresh is committed.
     """
-    root = table_dir.rstrip("/")
     tables: dict[str, DataFrame] = {}
 
     def store(name: str, df: DataFrame, partition_by: str | None = None) -> None:
-        tables[name] = write_table(df, f"{root}/{name}", partition_by)
+        tables[name] = refresh.write(name, df, partition_by)
 
     for name, df in stage_all(read_raw_zone(spark, raw_dir), params.box).items():
         store(name, df)
@@ -56,6 +56,10 @@ def run_pipeline(
 ) -> dict[str, DataFrame]:
     """Everything, in order. The check report is written before a failing check stops the job.
 
+    The tables become a new version under `<out>/tables` once they pass the checks; a run that fails
+    leaves the version before it in place. Read them with `snapshots.read_tables`. Reports and
+    extracts are written after that, from the new version.
+
     Every result is a written table, so scratch data is removed at the end, also when it fails.
     """
     mark = scratch_mark(spark)
@@ -69,18 +73,19 @@ def _run(
     spark: SparkSession, raw_dir: str, out_dir: str, params: Params
 ) -> dict[str, DataFrame]:
     out = out_dir.rstrip("/")
-    tables = build_tables(spark, raw_dir, f"{out}/tables", params)
+    refresh = Refresh(spark, f"{out}/tables")
+    tables = build_tables(spark, raw_dir, refresh, params)
     report = run_checks(tables, tables["fct_orders"], tables["first_order_retention"])
-    report = write_table(report, f"{out}/tables/quality_checks")
+    report = refresh.write("quality_checks", report)
     write_csv(report, f"{out}/quality_checks.csv", single_file=True)
     gate(report)
-    test = write_table(
-        retention_test(tables["mart_retention_late_vs_ontime"]), f"{out}/tables/retention_test"
-    )
+    test = refresh.write("retention_test", retention_test(tables["mart_retention_late_vs_ontime"]))
+    refresh.commit()
     write_json(test, f"{out}/retention_test.json")
     export_extracts(tables, f"{out}/extracts")
     lines = summary_lines(tables, test, params.window_days, params.min_seller_orders)
     lines.coalesce(1).sortWithinPartitions("section", "position").select("line").write.mode(
         "overwrite"
     ).text(f"{out}/summary.txt")
+    clean_up(spark, f"{out}/tables")
     return {**tables, "quality_checks": report, "retention_test": test}
