@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from tests.llm.brute import ODD_TEXTS
 from tests.llm.test_quality_rules import texts
 from waybill.llm import grade_model, hashing
+from waybill.llm.common import sample_texts
 
 
 def graded(count, seed):
@@ -80,3 +81,22 @@ def test_empty_tables(spark):
     rated = spark.createDataFrame([], "doc_id long, grade int")
     model = grade_model.fit(docs, rated)
     assert grade_model.select(docs, model).count() == 1 and grade_model.select(docs.limit(0), model).count() == 0
+
+
+def test_one_row_of_an_id_with_many(spark):
+    """An id of 10,000 rows, rated twice, is one training row; and no text above the bound is fitted on."""
+    docs = spark.range(10_000).select(F.lit(1).cast("long").alias("doc_id"), F.concat(F.lit("t "), "id").alias("text"))
+    long = "w " * grade_model.TRAINING_TEXT_BYTES
+    rest = spark.createDataFrame([(2, "b"), (2, "b"), (3, None), (4, long), (5, long), (5, "five")], "doc_id long, text string")
+    docs = docs.union(rest)
+    rated = spark.createDataFrame([(i, g) for i in range(1, 7) for g in (2, i % 2)], "doc_id long, grade int")
+    lowest = rated.groupBy("doc_id").agg(F.min("grade").alias("grade"))
+    rows = sample_texts(docs.repartition(7), lowest, grade_model.TRAINING_TEXT_BYTES).collect()
+    assert sorted((r.doc_id, r.grade) for r in rows) == [(1, 1), (2, 0), (3, 1), (5, 1)]
+    found = {r.doc_id: r.text for r in rows}
+    assert (found[2], found[3], found[5]) == ("b", None, "five")
+    again = sample_texts(docs.repartition(3), lowest, grade_model.TRAINING_TEXT_BYTES).collect()
+    assert {r.doc_id: r.text for r in again} == found
+    model = grade_model.fit(docs, rated)
+    assert len(model.thresholds) == len(grade_model.fit(docs.distinct(), rated).thresholds)
+    assert np.allclose(model.weights, grade_model.fit(docs.distinct(), rated).weights)

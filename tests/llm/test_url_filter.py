@@ -1,3 +1,5 @@
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -65,3 +67,33 @@ def test_entropy(spark):
     row = spark.createDataFrame([("aabb", "")], "a string, b string")
     got = row.select(url_filter._entropy(F.col("a")), url_filter._entropy(F.col("b"))).first()
     assert got[0] == pytest.approx(1.0) and got[1] == 0.0
+
+
+def test_repeated_urls_count_once_and_statistics_are_over_all(spark):
+    rows = [(f"http://a{i}.net/x/{i}.html", i % 2) for i in range(60)] + [("http://hot.com/a.php", 1)] * 5000
+    rows += [("http://hot.com/a.php", 0)]
+    host, path = url_filter.host_and_path(F.col("url"))
+    labelled = spark.createDataFrame(rows, "url string, label int")
+    known = labelled.select("url", host.alias("host"), path.alias("path"), F.col("label").cast("double"))
+    model = url_filter.fit(known, rows=20)
+    assert model.overall == pytest.approx(30 / 61)
+    counts = {r.suffix: round(r.suffix_log_count, 6) for r in model.suffixes.collect()}
+    assert counts == {"net": round(math.log1p(60), 6), "com": round(math.log1p(1), 6)}
+    share = {r.suffix: r.suffix_share for r in model.suffixes.collect()}
+    prior = url_filter.PRIOR_URLS
+    assert share["net"] == pytest.approx((30 + prior * 30 / 61) / (60 + prior))
+
+
+def test_features_against_plain_python(spark):
+    urls = [url for url, *_ in CASES] + ["http://a-b.c9.net/d/e.tar.gz?x=1&y=2#z", "h://" + "q" * 50_000 + ".com/7"]
+    host, path = url_filter.host_and_path(F.col("url"))
+    frame = spark.createDataFrame([(u,) for u in urls], "url string").select("url", host.alias("host"), path.alias("path"))
+    for row in url_filter.lexical(frame).collect():
+        url = row.url or ""
+        assert row.path_length == len(row.path) and row.path_depth == row.path.count("/")
+        assert row.host_depth == len(row.host.split(".")) and row.hyphens == row.host.count("-")
+        assert row.suffix == row.host.split(".")[-1]
+        last = row.path.split("/")[-1]
+        assert row.ending == (last.split(".")[-1] if "." in last else "")
+        digits = sum(c in "0123456789" for c in url)
+        assert row.digit_ratio == pytest.approx(digits / max(len(url), 1))

@@ -101,3 +101,27 @@ def seeded_sample(df: DataFrame, key: str, rows: int, seed: int) -> DataFrame:
     For fitting models only. A top-k by hash keeps `rows` rows per task and sorts nothing else.
     """
     return df.orderBy(F.xxhash64(F.lit(seed), F.col(key)), F.col(key)).limit(rows)
+
+
+def sample_texts(docs: DataFrame, chosen: DataFrame, longest: int) -> DataFrame:
+    """A text for each row of `chosen` (unique doc_id, label columns), of at most `longest` bytes.
+
+    An id with several rows gives one of them, the same at each run; ids without such a row give
+    none. `chosen` is a bounded sample, so it is broadcast; each task keeps a text per id before the
+    shuffle, so an id with most of the rows brings no more than others.
+    """
+    fits = docs.select("doc_id", "text").filter(F.coalesce(F.octet_length("text"), F.lit(0)) <= longest)
+    least = F.min(F.struct(F.xxhash64("text").alias("draw"), "text"))
+    rows = fits.join(F.broadcast(chosen), "doc_id").groupBy(*chosen.columns).agg(least.alias("least"))
+    return rows.select(*chosen.columns, "least.text")
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """`path` as a URI of the store that Spark itself would use for it.
+
+    A path without a scheme belongs to Hadoop's default file system; tasks that open files themselves
+    would take it for their own machine's disk.
+    """
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    store = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return store.makeQualified(where).toString()

@@ -22,6 +22,22 @@ def open_read(store: fs.FileSystem, path: str) -> io.BufferedReader:
     return io.BufferedReader(store.open_input_file(path), 1 << 20)
 
 
+def listed(path: str, endings: tuple[str, ...]) -> list[dict]:
+    """Files of a folder that others wrote, at any depth and in order of name; or the one file."""
+    store, where = open_store(path)
+    found = store.get_file_info(where)
+    if found.type == fs.FileType.NotFound:
+        raise FileNotFoundError(path)
+    if found.type == fs.FileType.File:
+        return [{"name": "", "bytes": found.size}]
+    inside = store.get_file_info(fs.FileSelector(where, recursive=True))
+    return [
+        {"name": info.path.removeprefix(where).lstrip("/"), "bytes": info.size}
+        for info in sorted(inside, key=lambda info: info.path)
+        if info.type == fs.FileType.File and info.base_name.lower().endswith(endings)
+    ]
+
+
 def publish(path: str, entries: list[dict]) -> None:
     """List the files of the tasks that succeeded; files of failed or doubled attempts are not in it."""
     store, folder = open_store(path)
@@ -30,6 +46,11 @@ def publish(path: str, entries: list[dict]) -> None:
         out.write(json.dumps(entries).encode())
 
 
+def has_manifest(path: str) -> bool:
+    store, folder = open_store(path)
+    return store.get_file_info(f"{folder}/{MANIFEST}").type == fs.FileType.File
+
+
 def published(path: str) -> list[dict]:
     store, folder = open_store(path)
     with store.open_input_stream(f"{folder}/{MANIFEST}") as source:

@@ -21,11 +21,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from waybill.llm.common import free_name, seeded_sample, stored
+from waybill.llm.common import free_name, sample_texts, seeded_sample, stored
 from waybill.llm.hashing import Run, gathered, runs, salted
 
 #: Rated rows that the model is fitted on, at most.
 TRAINING_ROWS = 8_000
+#: Longer texts, in bytes, are not fitted on; with the rows this bounds the fitting task.
+TRAINING_TEXT_BYTES = 32_768
 SEED = 29
 #: Feature slots. Of the words and n-grams that enough training texts have, those are used whose texts'
 #: grades deviate most from the others', one for every few training texts and each by some standard
@@ -222,10 +224,12 @@ def grades(labels: DataFrame) -> DataFrame:
 def fit(docs: DataFrame, rated: DataFrame, rows: int = TRAINING_ROWS) -> Model:
     """Train on at most `rows` rated documents (doc_id, grade), chosen by hash, in one task.
 
-    The sample is bounded by `rows`, so it is broadcast to find its texts and one task can hold it.
+    An id that is rated more than once counts with its lowest grade, and one that several rows have
+    with one of their texts. Texts over TRAINING_TEXT_BYTES are left out, so one task can hold the
+    sample: 256 MB at most.
     """
-    chosen = seeded_sample(rated, "doc_id", rows, SEED)
-    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    lowest = rated.groupBy("doc_id").agg(F.min("grade").alias("grade"))
+    sample = sample_texts(docs, seeded_sample(lowest, "doc_id", rows, SEED), TRAINING_TEXT_BYTES)
     sample = sample.select("text", F.col("grade").cast("int"), F.xxhash64(F.lit(SEED + 1), "doc_id").alias("draw"))
 
     def train_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

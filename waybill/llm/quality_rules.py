@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waybill.llm.common import seeded_sample, stored
+from waybill.llm.common import sample_texts, seeded_sample, stored
 from waybill.llm.hashing import Run, gathered, hash_spans, runs, salted
 
 #: The base rules.
@@ -22,6 +22,8 @@ LEAST_WORDS, REPEAT_WORDS, MOST_REPEATED_PERCENT = 10, 5, 20
 SYMBOLS = b"#*$%&|<>"
 #: Labelled rows that the model is fitted on, at most; a fifth of them only calibrate it.
 TRAINING_ROWS = 4_000
+#: Longer texts, in bytes, are not fitted on; with the rows this bounds the fitting task.
+TRAINING_TEXT_BYTES = 32_768
 HELD_OUT = 5
 BITS, STEPS, PENALTY, SEED = 17, 120, 3e-6, 23
 #: Kept from this calibrated probability on.
@@ -165,11 +167,13 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> Model:
     """Train on at most `rows` labelled documents, chosen by hash, in one task; returns the model.
 
     Labels that are null are left out; without both classes every text gets the one class there is
-    (good without labels). The sample is bounded, so it is broadcast to find its documents.
+    (good without labels). An id with several labels counts with the lowest, and one that several rows
+    have with one of their texts. Texts over TRAINING_TEXT_BYTES are left out, so that one task can
+    hold the sample.
     """
-    chosen = seeded_sample(labels.filter("quality IS NOT NULL").select("doc_id", "quality"), "doc_id", rows, SEED)
-    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    sample = sample.select("text", "quality", F.xxhash64(F.lit(SEED + 1), "doc_id").alias("draw"))
+    lowest = labels.filter("quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    sample = sample_texts(docs, seeded_sample(lowest, "doc_id", rows, SEED), TRAINING_TEXT_BYTES)
+    sample = sample.select("text", F.col("quality").cast("int"), F.xxhash64(F.lit(SEED + 1), "doc_id").alias("draw"))
 
     def train_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         every = gathered(batches, _SAMPLE).sort_by([("draw", "ascending")])

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from waybill.llm import files
+from waybill.llm.common import qualified
 from waybill.llm.hashing import RUN_BYTES, hash_spans
 from waybill.llm.repair import Decoder, compress, expansion_lengths, ranges
 
@@ -374,6 +375,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, end_id:
     A null or empty text is the end id alone. Documents without an id come first; repeated ids are
     all written, in order of their texts' hashes. The driver gets one short row per file.
     """
+    path = qualified(docs.sparkSession, path)
     order = [F.col("doc_id").asc_nulls_first(), F.col("draw")]
     dealt = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.xxhash64("text").alias("draw"))
     dealt = dealt.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
@@ -457,7 +459,7 @@ class TokenSource(DataSource):
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start (tokens of all documents before it), n_tokens, ids (32-bit little-endian)."""
     spark.dataSource.register(TokenSource)
-    return spark.read.format("token_shards").load(path)
+    return spark.read.format("token_shards").load(qualified(spark, path))
 
 
 def digests(documents: DataFrame) -> DataFrame:

@@ -112,9 +112,8 @@ class UrlModel:
         self.suffixes, self.endings, self.overall, self.trees = suffixes, endings, overall, trees
 
     def _features(self, urls: DataFrame) -> DataFrame:
-        # Both tables have at most a row per training URL.
-        joined = lexical(urls).join(F.broadcast(self.suffixes), "suffix", "left")
-        joined = joined.join(F.broadcast(self.endings), "ending", "left")
+        # Broadcast if Spark finds them small; adaptive execution splits a frequent suffix otherwise.
+        joined = lexical(urls).join(self.suffixes, "suffix", "left").join(self.endings, "ending", "left")
         unknown = {"suffix_share": self.overall, "ending_share": self.overall, "suffix_log_count": 0.0}
         return joined.fillna(unknown)
 
@@ -128,13 +127,17 @@ class UrlModel:
 def fit(labelled: DataFrame, rows: int = TRAINING_ROWS) -> UrlModel:
     """Train on at most `rows` labelled URLs (url, host, path, label 1 for block), chosen by hash.
 
-    Runs jobs. Without two classes among them the model is a constant: their class, else allow.
+    A URL counts once, with its lowest label. Suffix statistics are over all labelled URLs, trees are
+    fitted on the sample. Runs jobs. Without two classes the model is a constant: the one class there
+    is, else allow.
     """
-    sample = stored(seeded_sample(labelled.select("url", "host", "path", "label"), "url", rows, SEED), "urls")
-    overall = sample.agg(F.avg("label")).first()[0]
+    once = labelled.groupBy("url", "host", "path").agg(F.min("label").alias("label"))
+    every = stored(once, "labelled-urls")
+    overall = every.agg(F.avg("label")).first()[0]
     if overall is None or overall in (0.0, 1.0):
         return UrlModel(None, None, overall or 0.0, None)
-    marked = lexical(sample)
+    sample = stored(seeded_sample(every, "url", rows, SEED), "urls")
+    marked = lexical(every)
     suffixes = stored(_shares(marked, "suffix"), "suffixes")
     endings = stored(_shares(marked, "ending"), "endings").drop("ending_log_count")
     model = UrlModel(suffixes, endings, overall, None)

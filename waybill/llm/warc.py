@@ -5,12 +5,19 @@ a reader parses headers first and seeks past the blocks of records that it does
 reading or inflating them. Equality, membership and prefix predicates on the record type and on
 columns that headers hold are pushed down to that point. Bodies of equal payloads are stored once;
 later records refer to the first one.
+
+Archives of other writers are read as well: a folder without our manifest gives its `.warc` and
+`.warc.gz` files, at any depth, and a path may name one such file. Records that are compressed one by
+one are inflated in turn, those that are not wanted without keeping anything. HTTP bodies may be
+chunked, or coded by gzip or deflate; other codings are returned as stored. A file is read by one task.
 """
 
 from __future__ import annotations
 
 import gzip
+import io
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -32,7 +39,7 @@ from pyspark.sql.datasource import (
 )
 
 from waybill.llm import files
-from waybill.llm.common import free_name
+from waybill.llm.common import free_name, qualified
 
 #: An archive file is closed at this size, and files are read in bins of up to this size.
 FILE_BYTES = 128 << 20
@@ -53,6 +60,9 @@ HEADERS = {
     "target_uri": "warc-target-uri",
     "payload_digest": "warc-payload-digest",
 }
+#: Record types whose block is, or holds, a payload of its own.
+WITH_PAYLOAD = ("response", "resource", "conversion")
+ENDINGS = (".warc", ".warc.gz")
 _ARROW = pa.schema(
     [(name, pa.string()) for name in HEADERS]
     + [("payload_bytes", pa.int64()), ("payload", pa.binary())]
@@ -103,20 +113,56 @@ def _headers(source) -> dict[str, str] | None:
     while (line := source.readline()) not in (b"\r\n", b"\n"):
         if not line:
             raise ValueError("the file ends inside a record's headers")
-        name, _, value = line.decode().partition(":")
+        name, _, value = line.decode(errors="replace").partition(":")
         fields[name.strip().lower()] = value.strip()
     return fields
 
 
+def _unchunked(body: bytes) -> bytes:
+    """The data of a chunked body; what is there of one that was cut short."""
+    out, at = [], 0
+    while (end := body.find(b"\r\n", at)) >= 0:
+        try:
+            size = int(body[at:end].partition(b";")[0], 16)
+        except ValueError:
+            return body if at == 0 else b"".join(out)  # the archive's writer took the chunks apart
+        if size == 0:
+            break
+        out.append(body[end + 2 : end + 2 + size])
+        at = end + 2 + size + 2
+    return b"".join(out)
+
+
 def _body(block: bytes) -> bytes:
+    """The payload of an HTTP message."""
     head, _, body = block.partition(b"\r\n\r\n")
-    return gzip.decompress(body) if b"content-encoding: gzip" in head.lower() else body
+    fields = {}
+    for line in head.split(b"\r\n")[1:]:
+        name, _, value = line.partition(b":")
+        fields[name.strip().lower()] = value.strip().lower()
+    if b"chunked" in fields.get(b"transfer-encoding", b""):
+        body = _unchunked(body)
+    windows = {b"gzip": (31,), b"x-gzip": (31,), b"deflate": (15, -15)}
+    for bits in windows.get(fields.get(b"content-encoding", b""), ()):
+        coded = zlib.decompressobj(bits)
+        try:
+            return coded.decompress(body)
+        except zlib.error:
+            continue  # not what the header says, or deflate without its wrapper
+    return body
+
+
+def _payload(kind: str | None, fields: dict[str, str], block: bytes) -> bytes:
+    http = kind == "response" and fields.get("content-type", "application/http").startswith("application/http")
+    return _body(block) if http else block
 
 
 def _values(fields: dict[str, str]) -> dict:
     row = {name: fields.get(header) for name, header in HEADERS.items()}
     if row["payload_digest"]:
         row["payload_digest"] = row["payload_digest"].rpartition(":")[2]
+    if row["target_uri"]:
+        row["target_uri"] = row["target_uri"].removeprefix("<").removesuffix(">")
     length = fields.get("x-payload-length")
     return row | {"payload_bytes": int(length) if length else None}
 
@@ -129,13 +175,15 @@ def read_records(source, wanted=lambda row: True, payload: bool = True) -> Itera
             source.seek(length, 1)
             continue
         row["payload"] = None
-        if payload and row["record_type"] == "response":
+        if payload and row["record_type"] in WITH_PAYLOAD:
             block = source.read(length)
             if len(block) < length:
                 raise ValueError("the file ends inside a record's block")
-            row["payload"] = _body(block)
+            row["payload"] = _payload(row["record_type"], fields, block)
             if row["payload_bytes"] is None:
                 row["payload_bytes"] = len(row["payload"])
+            elif row["payload_bytes"] != len(row["payload"]):
+                raise ValueError(f"{row['record_id']}: the payload is not of the length that its headers state")
         else:
             source.seek(length, 1)
         yield row
@@ -159,6 +207,14 @@ def _holds(row: dict, test: Filter) -> bool:
     raise TypeError(test)
 
 
+def opened(store, path: str) -> io.BufferedReader:
+    """An archive's records, inflated where its first bytes say that they are compressed."""
+    source = files.open_read(store, path)
+    if source.peek(2)[:2] != b"\x1f\x8b":
+        return source
+    return io.BufferedReader(gzip.GzipFile(fileobj=source), 1 << 20)
+
+
 class FilePartition(InputPartition):
     def __init__(self, names: list[str]):
         self.names = names
@@ -180,7 +236,9 @@ class WarcReader(DataSourceReader):
                 yield test
 
     def partitions(self):
-        bins = files.binned(files.published(self.path), FILE_BYTES)
+        ours = files.has_manifest(self.path)
+        entries = files.published(self.path) if ours else files.listed(self.path, ENDINGS)
+        bins = files.binned(entries, FILE_BYTES)
         return [FilePartition([entry["name"] for entry in group]) for group in bins]
 
     def read(self, partition):
@@ -190,7 +248,7 @@ class WarcReader(DataSourceReader):
         wanted = lambda row: all(_holds(row, test) for test in self.tests)
         rows, size = [], 0
         for name in partition.names:
-            with files.open_read(store, f"{folder}/{name}") as source:
+            with opened(store, f"{folder}/{name}".rstrip("/")) as source:
                 for row in read_records(source, wanted, self.payload):
                     rows.append(row)
                     size += len(row["payload"] or b"") + 500
@@ -296,13 +354,13 @@ def to_records(pages: DataFrame) -> DataFrame:
 def write_archive(pages: DataFrame, path: str) -> None:
     """Write every page as a record under `path`; runs a job."""
     register(pages.sparkSession)
-    to_records(pages).write.format("warc").mode("append").save(path)
+    to_records(pages).write.format("warc").mode("append").save(qualified(pages.sparkSession, path))
 
 
 def read_archive(spark: SparkSession, path: str, payload: bool = True) -> DataFrame:
     """All records under `path`; `payload=False` decodes none of the payloads."""
     register(spark)
-    return spark.read.format("warc").option("payload", str(payload).lower()).load(path)
+    return spark.read.format("warc").option("payload", str(payload).lower()).load(qualified(spark, path))
 
 
 def page_id(urn: Column) -> Column:
