@@ -1,9 +1,11 @@
 """Licence scans: a positional index of rare licence words, with verification of key phrases.
 
-The rarest words of each licence template, by inverse document frequency over all documents, are
-indexed with their positions. A text's words look templates up there; places where two of them agree
-on where the template would begin are aligned word by word, and count when every mandatory key phrase
-of the template stands where it should and enough of the template's weight matches.
+Every word of every licence template is indexed with its positions and its inverse document frequency
+over all documents. Of each text, the rarest of its own licence words are looked up: for each template
+as many as any match of enough weight must hold. Places where two of them agree, give or take a few
+words, on where the template would begin are aligned with it in a band, so that words put in, left out
+or changed cost their weight and no more. A template counts when enough of its weight matches and each
+of its mandatory key phrases stands near its place.
 """
 
 from __future__ import annotations
@@ -25,7 +27,8 @@ PHRASES = (
     ("cc by", "cc-by"),
     ("mit license", "mit"),
 )
-#: Notices as their licences word them, each with the phrases that it must hold.
+#: Notices as their licences word them, whole and their opening words alone, each with the
+#: phrases that it must hold.
 TEMPLATES = (
     ("mit", "released under the mit license", ("mit license",)),
     (
@@ -83,78 +86,184 @@ TEMPLATES = (
         "this is free and unencumbered software released into the public domain",
         ("free and unencumbered software",),
     ),
+    (
+        "mit",
+        "permission is hereby granted free of charge to any person obtaining a copy of this software and"
+        " associated documentation files the software to deal in the software without restriction including"
+        " without limitation the rights to use copy modify merge publish distribute sublicense and or sell"
+        " copies of the software and to permit persons to whom the software is furnished to do so subject to"
+        " the following conditions the above copyright notice and this permission notice shall be included in"
+        " all copies or substantial portions of the software",
+        ("permission is hereby granted", "shall be included in all copies"),
+    ),
+    (
+        "apache",
+        "licensed under the apache license version 2 0 the license you may not use this file except in"
+        " compliance with the license you may obtain a copy of the license at http www apache org licenses"
+        " license 2 0 unless required by applicable law or agreed to in writing software distributed under the"
+        " license is distributed on an as is basis without warranties or conditions of any kind either express"
+        " or implied see the license for the specific language governing permissions and limitations under the"
+        " license",
+        ("apache license", "governing permissions and limitations"),
+    ),
+    (
+        "gpl",
+        "this program is free software you can redistribute it and or modify it under the terms of the gnu"
+        " general public license as published by the free software foundation either version 3 of the license"
+        " or at your option any later version this program is distributed in the hope that it will be useful"
+        " but without any warranty without even the implied warranty of merchantability or fitness for a"
+        " particular purpose see the gnu general public license for more details",
+        ("free software foundation", "gnu general public license"),
+    ),
+    (
+        "bsd",
+        "redistribution and use in source and binary forms with or without modification are permitted"
+        " provided that the following conditions are met redistributions of source code must retain the above"
+        " copyright notice this list of conditions and the following disclaimer redistributions in binary form"
+        " must reproduce the above copyright notice this list of conditions and the following disclaimer in the"
+        " documentation and or other materials provided with the distribution",
+        ("source and binary forms", "must retain the above copyright notice"),
+    ),
+    (
+        "isc",
+        "permission to use copy modify and or distribute this software for any purpose with or without fee"
+        " is hereby granted provided that the above copyright notice and this permission notice appear in all"
+        " copies",
+        ("for any purpose with or without fee",),
+    ),
+    (
+        "mpl",
+        "this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the"
+        " mpl was not distributed with this file you can obtain one at http mozilla org mpl 2 0",
+        ("mozilla public license",),
+    ),
+    (
+        "unlicense",
+        "this is free and unencumbered software released into the public domain anyone is free to copy modify"
+        " publish use compile sell or distribute this software either in source code form or as a compiled"
+        " binary for any purpose commercial or non commercial and by any means",
+        ("free and unencumbered software",),
+    ),
     ("proprietary", "all rights reserved", ("all rights reserved",)),
 )
-#: Words of each template in the index, places of it that must agree, and the least matched weight.
-INDEXED_WORDS, AGREEING, LEAST_SCORE = 4, 2, 0.6
+#: The least share of a template's weight that matches, and how many words parts of a notice may shift.
+LEAST_SCORE, SHIFT = 0.6, 8
+#: Places aligned at once, which bounds the memory.
+_BLOCK = 4096
 
 
 @dataclass(frozen=True)
 class Template:
     label: str
-    words: np.ndarray
+    hashes: np.ndarray
     weights: np.ndarray
     phrases: tuple[tuple[int, int], ...]
-    agreeing: int
+    #: Its positions, those of the rarest words first, and the index's number of the word at each.
+    rarest: np.ndarray
+    word: np.ndarray
 
 
 class Index:
-    """Postings word -> (template, position) of the templates' rarest words, sorted by word."""
+    """The templates' words, sorted by hash, with their weights and the templates they stand in."""
 
     def __init__(self, document_words: dict[str, int], documents: int, templates=TEMPLATES):
+        self.words = np.unique(np.concatenate([word_hashes(text) for _, text, _ in templates]))
         self.templates: list[Template] = []
-        postings = []
+        #: Weight that a text can match of each template (columns) by holding a word (rows).
+        self.holds = np.zeros((len(self.words), len(templates)))
         for number, (label, text, mandatory) in enumerate(templates):
-            words = text.split()
-            weight = {w: np.log((documents + 1) / (document_words.get(w, 0) + 1)) + 1e-9 for w in words}
-            rare = sorted(weight, key=lambda w: (-weight[w], w))[:INDEXED_WORDS]
-            hashes = word_hashes(text)
-            postings += [(hashes[at], number, at) for at, w in enumerate(words) if w in rare]
+            words, hashes = text.split(), word_hashes(text)
+            weights = np.array([np.log((documents + 1) / (document_words.get(w, 0) + 1)) + 1e-9 for w in words])
             spans = []
             for phrase in mandatory:
                 parts = phrase.split()
                 at = next(i for i in range(len(words)) if words[i : i + len(parts)] == parts)
                 spans.append((at, at + len(parts)))
-            self.templates.append(
-                Template(label, hashes, np.array([weight[w] for w in words]), tuple(spans), min(AGREEING, len(rare)))
-            )
-        postings.sort()
-        self.words = np.array([p[0] for p in postings], dtype=np.uint64)
-        self.of = np.array([p[1] for p in postings], dtype=np.int64)
-        self.at = np.array([p[2] for p in postings], dtype=np.int64)
-
-    def candidates(self, run: Run) -> np.ndarray:
-        """(template, first word) of the places that enough indexed words agree on."""
-        low = np.searchsorted(self.words, run.word_hash, side="left")
-        found = np.flatnonzero(self.words[np.minimum(low, len(self.words) - 1)] == run.word_hash)
-        low = low[found]
-        many = np.searchsorted(self.words, run.word_hash[found], side="right") - low
-        first = np.cumsum(many) - many
-        posting = np.arange(int(many.sum())) - np.repeat(first - low, many)
-        place = np.repeat(found, many)
-        begin = place - self.at[posting]
-        # The template would lie within the text of the word that was looked up.
-        length = np.array([len(t.words) for t in self.templates])[self.of[posting]]
-        text_of = run.word_text
-        fits = (begin >= 0) & (begin + length <= len(text_of))
-        begin, place, number, length = begin[fits], place[fits], self.of[posting][fits], length[fits]
-        fits = (text_of[begin] == text_of[place]) & (text_of[begin + length - 1] == text_of[place])
-        pairs, votes = np.unique(np.stack([number[fits], begin[fits]], axis=1), axis=0, return_counts=True)
-        need = np.array([t.agreeing for t in self.templates])
-        return pairs[votes >= need[pairs[:, 0]]] if len(pairs) else pairs
+            word = np.searchsorted(self.words, hashes)
+            np.add.at(self.holds[:, number], word, weights)
+            rarest = np.lexsort((word, -weights))
+            self.templates.append(Template(label, hashes, weights, tuple(spans), rarest, word))
+        self.totals = np.array([t.weights.sum() for t in self.templates])
+
+    def candidates(self, run: Run) -> Iterator[tuple[int, int, np.ndarray]]:
+        """(template, text, places where the template may begin, before the text or inside it)."""
+        at = np.minimum(np.searchsorted(self.words, run.word_hash), len(self.words) - 1)
+        place = np.flatnonzero(self.words[at] == run.word_hash)
+        key = run.word_text[place] * len(self.words) + at[place]
+        order = np.argsort(key, kind="stable")
+        place = place[order]
+        key, first, many = np.unique(key[order], return_index=True, return_counts=True)
+        text, word = np.divmod(key, len(self.words))
+        texts, rows = np.unique(text, return_index=True)
+        if not len(texts):
+            return
+        # Templates of which a text holds too little, wherever it stands, are passed over.
+        reach = np.add.reduceat(self.holds[word], rows, axis=0)
+        for row, number in zip(*np.nonzero(reach >= LEAST_SCORE * self.totals - 1e-9), strict=True):
+            own = slice(rows[row], rows[row + 1] if row + 1 < len(rows) else len(word))
+            places = {w: place[f : f + n] for w, f, n in zip(word[own], first[own], many[own], strict=True)}
+            looked_up, agreeing = self.lookups(number, places, reach[row, number])
+            template = self.templates[number]
+            begins = np.sort(np.concatenate([places[template.word[i]] - i for i in looked_up]))
+            if agreeing:
+                close = np.diff(begins) <= SHIFT
+                begins = begins[np.concatenate([[False], close]) | np.concatenate([close, [False]])]
+            if len(begins):
+                yield int(number), int(texts[row]), np.unique(begins)
+
+    def lookups(self, number: int, held, reach: float) -> tuple[np.ndarray, bool]:
+        """The template's positions to look up in a text that holds the words `held`, rarest first.
+
+        A match may miss what the threshold leaves, less what the text does not hold at all. So many
+        positions are taken that it cannot miss all but one of them: two must then agree. Where the
+        text holds too little for that, it cannot miss all of them, and one is enough.
+        """
+        template = self.templates[number]
+        positions = np.array([i for i in template.rarest if template.word[i] in held])
+        missed = reach - LEAST_SCORE * self.totals[number] + 1e-9
+        sums = np.cumsum(template.weights[positions])
+        enough = np.flatnonzero(sums - template.weights[positions[0]] > missed)
+        agreeing = len(enough) > 0
+        if not agreeing:
+            enough = np.flatnonzero(sums > missed)
+        return positions[: enough[0] + 1] if len(enough) else positions, agreeing
+
+    def aligned(self, run: Run, number: int, begins: np.ndarray, low: int, high: int) -> np.ndarray:
+        """The share of the template's weight matched from each place on, 0 without its key phrases.
+
+        The heaviest alignment that keeps the order of the words, each of them at most `SHIFT` words
+        from its place; `low` and `high` bound the text's words.
+        """
+        template = self.templates[number]
+        shifts = np.arange(-SHIFT, SHIFT + 1)
+        best = np.zeros((len(begins), len(shifts)))
+        stands = [np.ones((len(begins), len(shifts)), dtype=bool) for _ in template.phrases]
+        for i, (want, weight) in enumerate(zip(template.hashes, template.weights, strict=True)):
+            at = begins[:, None] + (i + shifts)
+            same = (at >= low) & (at < high)
+            same[same] = run.word_hash[at[same]] == want
+            for span, stand in zip(template.phrases, stands, strict=True):
+                if span[0] <= i < span[1]:
+                    stand &= same
+            skipped = np.concatenate([best[:, 1:], best[:, -1:]], axis=1)
+            best = np.maximum(skipped, best + weight * same)
+            best = np.maximum.accumulate(best, axis=1)
+        whole = np.all([stand.any(axis=1) for stand in stands], axis=0) if stands else True
+        return np.where(whole, np.minimum(best.max(axis=1) / self.totals[number], 1.0), 0.0)
 
     def scan(self, run: Run) -> tuple[list[set[str]], np.ndarray]:
         """Labels and the best score of each text."""
         labels: list[set[str]] = [set() for _ in range(run.texts)]
         scores = np.zeros(run.texts)
-        for number, begin in self.candidates(run):
-            template, text = self.templates[number], run.word_text[begin]
-            same = run.word_hash[begin : begin + len(template.words)] == template.words
-            score = float(template.weights[same].sum() / template.weights.sum())
-            if score >= LEAST_SCORE and all(same[a:b].all() for a, b in template.phrases):
-                labels[text].add(template.label)
+        ends = np.cumsum(run.words)
+        for number, text, begins in self.candidates(run):
+            low, high = int(ends[text] - run.words[text]), int(ends[text])
+            blocks = (begins[i : i + _BLOCK] for i in range(0, len(begins), _BLOCK))
+            score = max(float(self.aligned(run, number, block, low, high).max()) for block in blocks)
+            if score >= LEAST_SCORE - 1e-12:
+                labels[text].add(self.templates[number].label)
                 scores[text] = max(scores[text], score)
-        return labels, np.minimum(scores, 1.0)
+        return labels, scores
 
 
 def frequencies(docs: DataFrame, templates=TEMPLATES) -> tuple[dict[str, int], int]:
