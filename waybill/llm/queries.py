@@ -131,3 +131,27 @@ def op12_nearest(spark, sf):
 def op13_lexical_search(spark, sf):
     """The ten best documents of every benchmark item."""
     return lexical_search.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@query
+def mixing_targets(spark, sf):
+    """What SQL can say of op3_mixing: sizes and targets."""
+    return op3_mixing(spark, sf).drop("taken")
+
+
+@query
+def url_rules(spark, sf):
+    """What SQL can say of op5_url_filter: host, path, rule and the rule's verdict."""
+    return url_filter.by_rules(table(spark, sf, "pages")).drop("url")
+
+
+@query
+def rule_counts(spark, sf):
+    """What SQL can say of op7_quality_rules: the counts and the base verdict."""
+    return op7_quality_rules(spark, sf).drop("kept", "quality")
+
+
+@query
+def license_base(spark, sf):
+    """What SQL can say of op10_licenses: the base phrases."""
+    return op10_licenses(spark, sf).drop("labels", "score")

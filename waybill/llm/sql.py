@@ -160,5 +160,87 @@ WITH doc_term AS (
 SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM score WHERE score > 0)
 WHERE rank <= 10
+""",
+    "mixing_targets": r"""
+WITH doc AS (
+    SELECT doc_id, source, CAST(COALESCE(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size
+    FROM documents
+), per_source AS (
+    SELECT source, CAST(SUM(size) AS BIGINT) AS source_size,
+        [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight
+    FROM doc GROUP BY source
+), judged AS (
+    SELECT *, (
+        SELECT SUM(LEAST(3.0 * b.source_size, b.weight * (3.0 * a.source_size / a.weight))) FROM per_source b
+    ) >= (SELECT SUM(source_size) FROM per_source) AS below
+    FROM per_source a
+), level AS (
+    SELECT (SUM(source_size) - SUM(CASE WHEN below THEN 0 ELSE 3 * source_size END))
+        / SUM(CASE WHEN below THEN weight ELSE 0 END) AS level
+    FROM judged
+)
+SELECT doc_id, size, source_size, CASE WHEN below THEN level * weight ELSE CAST(3 * source_size AS DOUBLE) END AS target
+FROM doc JOIN judged ON doc.source IS NOT DISTINCT FROM judged.source, level
+""",
+    "url_rules": """
+WITH rule(rule, by_rule, of_host, of_path) AS (VALUES
+    ('org/', 'allow', 'org', '/'), ('example.org/es/', 'block', 'example.org', '/es/'),
+    ('example.org/en/1', 'block', 'example.org', '/en/1'), ('com/fr/', 'allow', 'com', '/fr/'),
+    ('com/de/', 'block', 'com', '/de/')
+), rest AS (
+    SELECT row_number() OVER () AS r, page_id,
+        CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+    FROM pages
+), page AS (
+    SELECT r, page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+    FROM rest
+), best AS (
+    SELECT r, arg_max(rule, length(rule)) AS rule, arg_max(by_rule, length(rule)) AS by_rule
+    FROM page JOIN rule ON (host = of_host OR ends_with(host, '.' || of_host)) AND starts_with(path, of_path)
+    GROUP BY r
+)
+SELECT page_id, host, path, rule, by_rule FROM page LEFT JOIN best USING (r)
+""",
+    "rule_counts": r"""
+WITH doc AS (
+    SELECT row_number() OVER () AS r, doc_id, COALESCE(text, '') AS text,
+        regexp_extract_all(COALESCE(text, ''), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), win AS (
+    SELECT r, i, w[i:i + 4] AS win FROM (SELECT r, w, unnest(range(1, len(w) - 3)) AS i FROM doc WHERE len(w) >= 5)
+), again AS (
+    SELECT r, i FROM win QUALIFY COUNT(*) OVER (PARTITION BY r, win) > 1
+), covered AS (
+    SELECT r, COUNT(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + 5)) AS p FROM again) GROUP BY r
+), line AS (
+    SELECT r, unnest(string_split(text, chr(10))) AS line FROM doc
+), dup AS (
+    SELECT r, COUNT(*) - COUNT(DISTINCT line) AS n FROM line WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+    CAST(length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) AS BIGINT) AS word_chars,
+    CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    CAST(COALESCE(dup.n, 0) AS BIGINT) AS n_dup_lines, CAST(COALESCE(covered.n, 0) AS BIGINT) AS n_repeat_words,
+    len(w) < 10 OR 100 * COALESCE(covered.n, 0) > 20 * len(w) AS base_failed
+FROM doc LEFT JOIN covered USING (r) LEFT JOIN dup USING (r)
+""",
+    "license_base": f"""
+WITH phrase(phrase, label) AS (VALUES
+    (['gnu', 'general', 'public', 'license'], 'gpl'), (['apache', 'license'], 'apache'),
+    (['cc', 'by'], 'cc-by'), (['mit', 'license'], 'mit')
+), doc AS (
+    SELECT row_number() OVER () AS r, doc_id, COALESCE({_WORDS}, []) AS w FROM documents
+), place AS (
+    SELECT r, label, i - 1 AS start
+    FROM (SELECT r, w, unnest(range(1, len(w) + 1)) AS i FROM doc) JOIN phrase ON w[i] = phrase[1]
+        AND w[i:i + len(phrase) - 1] = phrase
+), found AS (
+    SELECT r, COUNT(*) AS n, MIN(start) AS low, MAX(start) AS high, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+    FROM place GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(COALESCE(n, 0) AS BIGINT) AS n_base, low AS first_word,
+    high AS last_word, COALESCE(labels, '') AS base_labels
+FROM doc LEFT JOIN found USING (r)
 """,
 }

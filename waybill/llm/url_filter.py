@@ -48,7 +48,7 @@ def _parts(rule: str) -> tuple[str, str, str, str]:
 
 
 def rule_columns(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
-    """The longest fitting rule and its verdict, or nulls; of equally long ones the first by text.
+    """The longest fitting rule and its verdict, or nulls; of equally long ones the last by text.
 
     A rule list is a parameter that people write; its length does not grow with the pages.
     """
@@ -59,6 +59,14 @@ def rule_columns(host: Column, path: Column, rules=RULES) -> tuple[Column, Colum
     return which, verdict
 
 
+def by_rules(pages: DataFrame, rules=RULES) -> DataFrame:
+    """page_id, url, host, path, rule, by_rule (its verdict) of every page; nulls where no rule fits."""
+    host, path = host_and_path(F.col("url"))
+    parsed = pages.select("page_id", "url", host.alias("host"), path.alias("path"))
+    rule, by_rule = rule_columns(F.col("host"), F.col("path"), rules)
+    return parsed.withColumns({"rule": rule, "by_rule": by_rule})
+
+
 def _entropy(text: Column) -> Column:
     """Bits per character of the character distribution."""
     size = F.length(text).cast("double")
@@ -155,10 +163,8 @@ def judge(pages: DataFrame, rules=RULES, labelled: DataFrame | None = None) -> D
     and empty urls have an empty host and path and are judged by the trees like all others. Repeated
     rows are judged alike; other columns are not read.
     """
+    ruled = by_rules(pages, rules)
     host, path = host_and_path(F.col("url"))
-    parsed = pages.select("page_id", "url", host.alias("host"), path.alias("path"))
-    rule, by_rule = rule_columns(F.col("host"), F.col("path"), rules)
-    ruled = parsed.withColumns({"rule": rule, "by_rule": by_rule})
     if labelled is None:
         known = ruled.filter("rule IS NOT NULL").withColumn("label", (F.col("by_rule") == "block").cast("double"))
     else:
