@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
@@ -46,6 +48,47 @@ def test_gradient():
     assert np.allclose(best, 3, atol=1e-2)
 
 
+def test_loss_and_gradient_against_plain_sums():
+    """The loss is minus the mean log probability of each row's own grade; its gradient is its slope."""
+    random = np.random.default_rng(5)
+    top, width, n = 3, 4, 40
+    grades = random.integers(0, top + 1, n).astype(np.int32)
+    text, at = (m.ravel() for m in np.meshgrid(np.arange(n), np.arange(width), indexing="ij"))
+    keep = random.random(len(text)) < 0.6
+    text, at, value = text[keep], at[keep], random.normal(size=keep.sum())
+    loss = grade_model.likelihood(grades, top, (text, at, value), width)
+
+    def plain(x):
+        first, gaps = x[width], x[width + 1 :]
+        thresholds = [first + sum(math.exp(g) for g in gaps[:k]) for k in range(top)]
+        total = 0.0
+        for row, grade in enumerate(grades):
+            score = sum(x[a] * v for t, a, v in zip(text, at, value, strict=True) if t == row)
+            below = [0.0, *(1 / (1 + math.exp(score - t)) for t in thresholds), 1.0]
+            total -= math.log(below[grade + 1] - below[grade])
+        return total / n + grade_model.PENALTY / n / 2 * sum(w * w for w in x[:width])
+
+    for _ in range(3):
+        x = random.normal(size=width + top)
+        got, gradient = loss(x)
+        assert math.isclose(got, plain(x), rel_tol=1e-9)
+        for k in range(len(x)):
+            step = np.zeros(len(x))
+            step[k] = 1e-6
+            assert math.isclose(gradient[k], (plain(x + step) - plain(x - step)) / 2e-6, rel_tol=1e-4, abs_tol=1e-7)
+
+
+def test_scores_against_plain_sums():
+    rows, grades = graded(300, 4)
+    model = grade_model.train(pa.array(rows), grades)
+    weight = dict(zip(model.slots.tolist(), model.weights.tolist(), strict=True))
+    for row, got in zip(rows[:40], reaches(model, rows[:40]), strict=True):
+        (_, run), = hashing.runs(pa.array([row]), True, False)
+        _, slot, value = grade_model.features(run)
+        score = sum(weight.get(s, 0.0) * v for s, v in zip(slot.tolist(), value.tolist(), strict=True))
+        assert np.allclose(got, [1 / (1 + math.exp(t - score)) for t in model.thresholds], atol=1e-4)
+
+
 def test_one_grade():
     rows = ["a b", "c", ""]
     for grade, selected in ((0, False), (2, True)):

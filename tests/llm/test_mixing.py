@@ -110,5 +110,12 @@ def test_mix_repeats_documents(docs):
     assert sorted(str((r.doc_id, r.source)) for r in mixed.collect()) == want
 
 
+def test_clashing_columns(docs):
+    names = ("of_doc", "of_source", "text_key", "all_copies", "rows", "times", "copy", "size")
+    mixed = mixing.mix(docs.withColumns({n: F.lit("x") for n in names}))
+    assert mixed.count() == mixing.mix(docs).count()
+    assert set(names) <= set(mixed.columns) and mixed.filter("rows <> 'x' OR times <> 'x' OR text_key <> 'x'").isEmpty()
+
+
 def test_empty_table(docs):
     assert mixing.plan(docs.limit(0)).count() == 0 and mixing.mix(docs.limit(0)).count() == 0

@@ -6,9 +6,10 @@ from pathlib import Path
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tests.llm.brute import blank_words, contamination, near_classes
+from tests.llm.brute import ODD_TEXTS, blank_words, contamination, near_classes
 from tests.llm.test_token_output import plain_ids
 from waybill.llm import common
 
@@ -91,3 +92,47 @@ def test_run(spark, tables):
     assert got == sorted(map(tuple, tables[5].collect()))
     left = {p.name.rpartition("-")[0] for p in Path(common.shared_folder(spark)).iterdir() if p.name not in before}
     assert left == {"llm-mixing", "llm-corpus-tokens"}
+
+
+def _folder(spark, path, docs, labels, benchmark):
+    for name, frame in (("documents", docs), ("labels", labels), ("benchmark", benchmark)):
+        frame.write.parquet(f"{path}/{name}.parquet")
+    return str(path)
+
+
+def test_edge_cases(spark, tmp_path):
+    """Nulls in any column, empty and very long texts, repeated rows and clashing column names."""
+    docs = [(i, text, "en", "web", 0) for i, text in enumerate(ODD_TEXTS)]
+    prose = [" ".join(f"w{(k * 7 + j * j) % 997}" for j in range(60)) for k in range(12)]
+    docs += [(100 + k, text, None, None if k % 2 else "book", None) for k, text in enumerate(prose)]
+    docs += docs[-3:] + [(None, prose[0], "en", "web", 1), (None, None, None, None, None)]
+    docs.append((200, " ".join(f"v{j % 50021}" for j in range(120_000)), "en", "book", 1))
+    frame = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long")
+    frame = frame.withColumns({"size": F.lit("s"), "spans": F.lit(1), "text_key": F.lit(2), "rep": F.lit(3)})
+    labels = spark.createDataFrame(
+        [(100, 1, 0), (100, 1, 0), (101, 1, 0), (2, 0, 0), (None, 1, 0), (3, None, None)],
+        "doc_id long, quality int, toxic int",
+    )
+    items = spark.createDataFrame([(1, " ".join(prose[5].split()[:30])), (2, None), (None, "")], "item_id long, text string")
+    sf_dir = _folder(spark, tmp_path, frame, labels, items)
+    out = [common.table(spark, sf_dir, "documents")]
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, out[-1], sf_dir).write.parquet(f"{tmp_path}/{k}")
+        out.append(spark.read.parquet(f"{tmp_path}/{k}"))
+    assert all(t.columns == frame.columns for t in out[:-1])
+    # Of the repeated documents one stays, and the one that holds a benchmark passage goes.
+    # Rows without an id are never duplicates.
+    ids = Counter(r.doc_id for r in out[3].collect())
+    assert ids.pop(None, 0) == sum(r.doc_id is None for r in out[1].collect())
+    assert all(n == 1 for n in ids.values()) and 105 not in ids
+    kept = {r.doc_id for r in out[1].collect()}
+    assert {100, 101, 200} <= kept
+    taken = sorted(out[4].collect(), key=lambda r: (r.doc_id is not None, r.doc_id))
+    assert out[5].count() == len(taken)
+    assert sum(r.n_tokens for r in out[5].collect()) == sum(len(i) + 1 for i in plain_ids([r.text for r in taken]))
+
+
+def test_empty_tables(spark, tmp_path):
+    names = ("documents", "labels", "benchmark")
+    sf_dir = _folder(spark, tmp_path, *(common.table(spark, SF_DIR, name).limit(0) for name in names))
+    assert corpus_pipeline.run(spark, sf_dir).count() == 0

@@ -146,10 +146,22 @@ def train(texts: pa.Array, grades: np.ndarray, steps: int = STEPS) -> Model:
         text, slot, value = features(run, known)
         parts.append((text + row, column[slot], value))
     text, at, value = (np.concatenate(part) for part in zip(*parts, strict=True))
-    n, width = len(grades), len(slots)
+    width = len(slots)
     at_least = np.array([(grades >= k).mean() for k in range(1, top + 1)]).clip(1e-3, 1 - 1e-3)
     first = np.log(1 / at_least - 1)
     gaps = np.log(np.maximum(np.diff(first), 0.1))
+    loss = likelihood(grades, top, (text, at, value), width)
+    at_end = minimize(loss, np.concatenate([np.zeros(width), first[:1], gaps]), steps)
+    return Model(slots, at_end[:width], _thresholds(at_end[width:]))
+
+
+def likelihood(grades: np.ndarray, top: int, entries: tuple[np.ndarray, np.ndarray, np.ndarray], width: int):
+    """The penalised cumulative-link loss of (weights, first threshold, log gaps), with its gradient.
+
+    `entries` are (text, column, value) of the features; grades run from 0 to `top`.
+    """
+    text, at, value = entries
+    n = len(grades)
     sigmoid = lambda x: 1 / (1 + np.exp(-np.clip(x, -30, 30)))
     rows = np.arange(n)
 
@@ -169,8 +181,7 @@ def train(texts: pa.Array, grades: np.ndarray, steps: int = STEPS) -> Model:
         total = -np.log(p).mean() + PENALTY / n / 2 * (x[:width] ** 2).sum()
         return float(total), np.concatenate([by_weight, [per.sum()], by_gap])
 
-    at_end = minimize(loss, np.concatenate([np.zeros(width), first[:1], gaps]), steps)
-    return Model(slots, at_end[:width], _thresholds(at_end[width:]))
+    return loss
 
 
 def _thresholds(x: np.ndarray) -> np.ndarray:

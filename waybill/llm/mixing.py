@@ -231,7 +231,8 @@ def mix(docs: DataFrame, seed: int = SEED) -> DataFrame:
     single = docs.join(shares.filter("rows = 1"), same).select(
         *(docs[c] for c in docs.columns), shares["all_copies"].alias(times)
     )
-    turn = F.row_number().over(Window.partitionBy("of_doc", "of_source", "text_key").orderBy(F.lit(0)))
+    one_group = Window.partitionBy(shares["of_doc"], shares["of_source"], shares["text_key"])
+    turn = F.row_number().over(one_group.orderBy(F.lit(0)))
     share = F.floor(shares["all_copies"] / shares["rows"]) + (turn <= shares["all_copies"] % shares["rows"]).cast("bigint")
     several = docs.join(shares.filter("rows > 1"), same).select(
         *(docs[c] for c in docs.columns), share.alias(times)
