@@ -9,28 +9,44 @@ from waybill.llm.common import drop_scratch, scratch_mark, scratch_path, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the documents that the ordinal quality model selects; it is fitted on the rated ones."""
+    """Keeps the documents that the ordinal quality model selects; it is fitted on the rated ones.
+
+    Null and empty texts are scored like others. Without two grades among the ratings the model is a
+    constant: the one grade there is, or with no rating at all a good one. Rows that repeat are judged alike.
+    """
     model = grade_model.fit(docs, grade_model.grades(table(spark, sf_dir, "labels")))
     return grade_model.select(docs, model)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each near-duplicate class."""
+    """Keeps one document of each near-duplicate class.
+
+    Rows without an id are all kept, wordless texts once for each id.
+    """
     return order_minhash.dedupe(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that hold too much of the benchmark."""
+    """Drops documents that hold too much of the benchmark.
+
+    Null texts and an empty benchmark leave documents as they are; repeated ids are judged by their text.
+    """
     return decontaminate.remove_documents(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Takes documents to their source's target, some several times and some not."""
+    """Takes documents to their source's target, some several times and some not.
+
+    Null sources are one source. Texts without words do not count towards a target.
+    """
     return mixing.mix(docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Writes the token files and returns each document's place and checksum from them."""
+    """Writes the token files and returns each document's place and checksum from them.
+
+    A null or empty text is its end id alone; repeated rows are written as often as they come.
+    """
     path = scratch_path(spark, "corpus-tokens")
     token_output.write_tokens(docs, path)
     return token_output.digests(token_output.read_tokens(spark, path))
@@ -50,7 +66,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Applies the stages to `documents`; every result but the last is written and read again.
 
-    What a stage left in the shared folder is removed once its result is written.
+    What a stage left in the shared folder is removed once its result is written. An empty table gives
+    an empty result; columns of any name besides those of `documents` go through to the last stage.
     """
     docs, kept = table(spark, sf_dir, "documents"), ()
     for name, stage in STAGES[:-1]:
