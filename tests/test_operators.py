@@ -88,6 +88,18 @@ def test_main_line_agrees_with_the_window_form(spark):
     )
 
 
+def test_lines_without_an_order_have_no_main_line(spark):
+    items = spark.createDataFrame(
+        [(None, 1, "p1", "sA", 5.0, 1.0), (None, 2, "p2", "sB", 6.0, 1.0), ("o1", 1, None, "sA", 2.0, 0.0)], LINES
+    )
+    assert rows(order_lines(items)) == [("o1", 1, 1, 2.0, 0.0, "sA", None), (None, 2, 2, 11.0, 2.0, None, None)]
+
+
+def test_lines_move_once_for_sums_and_main_line(spark):
+    plan = order_lines(random_lines(spark, 50, 6))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(order_id") == plan.count("Exchange ") == 1
+
+
 @pytest.mark.parametrize("n", [1, 7, 10, 13, 100, 1003])
 def test_ntile_scalable_equals_the_window(spark, n):
     pick = random.Random(n)

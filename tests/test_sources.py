@@ -82,6 +82,19 @@ def test_csv_extract_round_trip(spark, tmp_path):
     assert sorted(read_csv_as(spark, path, df).collect()) == sorted(df.collect())
 
 
+def test_raw_inputs_may_be_compressed(spark, tmp_path):
+    df = spark.createDataFrame([('said "a,b"', "1"), ("two\nlines", None)], "note string, n string")
+    path = write_csv(df, str(tmp_path / "reviews_dataset.csv"), compression="gzip")
+    assert list((tmp_path / "reviews_dataset.csv").glob("*.csv.gz"))
+    assert sorted(read_raw(spark, path, multi_line=True).collect()) == sorted(df.collect())
+
+
+def test_tables_are_written_with_zstd(spark, tmp_path):
+    parted = write_table(spark.range(9).selectExpr("id", "id % 2 AS half"), str(tmp_path / "p"), partition_by="half")
+    for stored in (scratch_table(spark.range(3), "z"), write_table(spark.range(3), str(tmp_path / "t")), parted):
+        assert all(name.endswith(".zstd.parquet") for name in stored.inputFiles())
+
+
 def test_scratch_tables_live_in_the_folder_the_session_names(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
     stored = scratch_table(spark.range(3), "r")

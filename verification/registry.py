@@ -469,12 +469,18 @@ def mart_distance(spark, sf):
     return marts.mart_distance(_fact(spark, sf))
 
 
+def _raw_zone(spark, sf) -> str:
+    """All nine raw inputs as folders of gzipped CSV files."""
+    zone = scratch_path(spark, "raw")
+    for name, frame in derive.raw_text(spark, sf).items():
+        extracts.write_csv(frame, f"{zone}/{raw.RAW_INPUTS[name]}", compression="gzip")
+    return zone
+
+
 @query
 def job_distance_extract(spark, sf):
     """The whole job from raw CSV files, and one of its extracts read back."""
-    zone, out = scratch_path(spark, "raw"), scratch_path(spark, "out")
-    for name, frame in derive.raw_text(spark, sf).items():
-        extracts.write_csv(frame, f"{zone}/{raw.RAW_INPUTS[name]}")
+    zone, out = _raw_zone(spark, sf), scratch_path(spark, "out")
     tables = job.run_pipeline(spark, zone, out, PARAMS)
     return extracts.read_csv_as(
         spark, f"{out}/extracts/distance.csv", tables["mart_distance"]
@@ -484,9 +490,7 @@ def job_distance_extract(spark, sf):
 @query
 def job_extracts(spark, sf):
     """The whole job, and every figure of its seven mart extracts read back: a row per figure."""
-    zone, out = scratch_path(spark, "raw"), scratch_path(spark, "out")
-    for name, frame in derive.raw_text(spark, sf).items():
-        extracts.write_csv(frame, f"{zone}/{raw.RAW_INPUTS[name]}")
+    zone, out = _raw_zone(spark, sf), scratch_path(spark, "out")
     tables = job.run_pipeline(spark, zone, out, PARAMS)
     figures = []
     for name, (table, _) in extracts.EXTRACTS.items():
@@ -507,9 +511,7 @@ def job_extracts(spark, sf):
 @query
 def job_orders_extract(spark, sf):
     """The orders extract of the job's newest version of the tables, read back from CSV."""
-    zone, out = scratch_path(spark, "raw"), scratch_path(spark, "out")
-    for name, frame in derive.raw_text(spark, sf).items():
-        extracts.write_csv(frame, f"{zone}/{raw.RAW_INPUTS[name]}")
+    zone, out = _raw_zone(spark, sf), scratch_path(spark, "out")
     job.run_pipeline(spark, zone, out, PARAMS)
     stored = extracts.extract_orders(snapshots.read_tables(spark, f"{out}/tables")["fct_orders"])
     orders = extracts.read_csv_as(spark, f"{out}/extracts/orders.csv", stored)

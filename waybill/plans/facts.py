@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from waybill.functions.bands import lateness_bucket
@@ -23,19 +24,47 @@ DELIVERED = "delivered"
 NOT_AN_ORDER = ("canceled", "unavailable")
 
 
+def main_line_first() -> list[Column]:
+    """The line with the highest price, ties going to the lowest line number.
+
+    Lines equal in both are settled by their keys.
+    """
+    return [
+        F.col("price").desc_nulls_last(),
+        F.col("order_item_id").asc_nulls_last(),
+        F.col("product_id").desc_nulls_last(),
+        F.col("seller_id").desc_nulls_last(),
+    ]
+
+
 def order_lines(items: DataFrame) -> DataFrame:
     """Per order: line count, distinct sellers, value, freight, and the main line's keys.
 
-    Sums go by order and seller first, so that sellers are counted from the same pass without
-    expanding the rows. The main line is a pass of its own, with a limit of one row per order on
-    both sides of its shuffle; as a left join it drops out where it is not used.
+    The lines move once, by order. The main line is found in a window over the order, and the sums by
+    seller and then by order are taken where the lines then are. Lines without an order have no main line.
     """
-    main = main_lines(items).select(
-        "order_id",
-        F.col("seller_id").alias("main_seller_id"),
-        F.col("product_id").alias("main_product_id"),
+    line = W.partitionBy("order_id").orderBy(*main_line_first())
+
+    def of_main_line(key: str) -> Column:
+        return F.when(F.col("order_id").isNotNull(), F.first(key).over(line)).alias(f"main_{key}")
+
+    per_order = ["order_id", "main_seller_id", "main_product_id"]
+    by_seller = (
+        items.select("*", of_main_line("seller_id"), of_main_line("product_id"))
+        .groupBy(*per_order, "seller_id")
+        .agg(
+            row_count().alias("lines"),
+            F.sum("price").alias("value"),
+            F.sum("freight").alias("freight"),
+        )
+    )
+    totals = by_seller.groupBy(*per_order).agg(
+        F.sum("lines").alias("item_count"),
+        F.count("seller_id").alias("seller_count"),
+        F.sum("value").alias("item_value"),
+        F.sum("freight").alias("freight_value"),
     )
-    return order_totals(items).join(main, "order_id", "left").select(
+    return totals.select(
         "order_id",
         "item_count",
         "seller_count",
@@ -46,35 +75,9 @@ def order_lines(items: DataFrame) -> DataFrame:
     )
 
 
-def order_totals(items: DataFrame) -> DataFrame:
-    by_seller = items.groupBy("order_id", "seller_id").agg(
-        row_count().alias("lines"),
-        F.sum("price").alias("value"),
-        F.sum("freight").alias("freight"),
-    )
-    return by_seller.groupBy("order_id").agg(
-        F.sum("lines").alias("item_count"),
-        F.count("seller_id").alias("seller_count"),
-        F.sum("value").alias("item_value"),
-        F.sum("freight").alias("freight_value"),
-    )
-
-
 def main_lines(items: DataFrame) -> DataFrame:
-    """The line with the highest price of each order, ties going to the lowest line number.
-
-    Lines equal in both are settled by their keys.
-    """
-    return first_per_key(
-        items,
-        ["order_id"],
-        [
-            F.col("price").desc_nulls_last(),
-            F.col("order_item_id").asc_nulls_last(),
-            F.col("product_id").desc_nulls_last(),
-            F.col("seller_id").desc_nulls_last(),
-        ],
-    )
+    """The main line of each order, as it stands."""
+    return first_per_key(items, ["order_id"], main_line_first())
 
 
 def order_payments(payments: DataFrame) -> DataFrame:

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
-def write_csv(df: DataFrame, path: str, single_file: bool = False) -> str:
+def write_csv(
+    df: DataFrame, path: str, single_file: bool = False, compression: str = "none"
+) -> str:
     """CSV with header. `single_file` is for report-sized frames only."""
     out = df.coalesce(1) if single_file else df
     (
@@ -19,7 +21,7 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False) -> str:
         # The writer would trim text otherwise.
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
-        .csv(path, header=True, quote='"', escape='"')
+        .csv(path, header=True, quote='"', escape='"', compression=compression)
     )
     return path
 

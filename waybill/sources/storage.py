@@ -7,6 +7,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Tables are written once and read a few times, so the smaller files of zstd pay off.
+COMPRESSION = "zstd"
+
+
 def write_table(df: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:
     """Full refresh of a Parquet table; returns a scan of what was written.
 
@@ -16,10 +20,10 @@ def write_table(df: DataFrame, path: str, partition_by: str | None = None) -> Da
     """
     spark = df.sparkSession
     if partition_by is None:
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").parquet(path, compression=COMPRESSION)
     else:
         grouped = df.hint("rebalance", partition_by)
-        grouped.write.mode("overwrite").partitionBy(partition_by).parquet(path)
+        grouped.write.mode("overwrite").partitionBy(partition_by).parquet(path, compression=COMPRESSION)
     # The reader moves partition columns to the end; keep the order of the definition.
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
@@ -63,5 +67,5 @@ def scratch_table(df: DataFrame, name: str) -> DataFrame:
     reads prune columns and know the real size.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=COMPRESSION)
     return df.sparkSession.read.schema(df.schema).parquet(path)
