@@ -4,13 +4,15 @@ from pathlib import Path
 import marketplace
 import pytest
 
+from verification import registry
 from waybill.operators.quality import QualityError
 from waybill.params import Params
 from waybill.plans import bi, charts, report
 from waybill.plans.job import run_pipeline
 from waybill.sources.extracts import read_json_as
-from waybill.sources.raw import require_inputs
+from waybill.sources.raw import read_raw_zone, require_inputs
 from waybill.sources.snapshots import read_tables, versions
+from waybill.sources.staging import stage_all
 from waybill.sources.storage import shared_folder
 
 PARAMS = Params(window_days=60, min_seller_orders=2)
@@ -282,6 +284,15 @@ def test_the_job_reads_the_fact_once_for_all_marts(spark, built, out):
     assert len(per_key) == 6 and set(per_key.values()) == {fact.count()}
 
 
+def test_retention_stores_the_fact_it_reads_twice(spark, tmp_path, monkeypatch):
+    staged = stage_all(read_raw_zone(spark, marketplace.write(tmp_path / "zone")))
+    monkeypatch.setattr(registry.derive, "typed", lambda *_: staged)
+    cohort = registry._retention(spark, str(tmp_path), PARAMS)
+    assert cohort.count() > 0
+    # The rest of the plan reads what was stored.
+    assert not [path for path in cohort.inputFiles() if path.endswith(".csv")]
+
+
 def test_nothing_is_left_in_the_shared_folder(spark, tmp_path):
     folder = Path(shared_folder(spark))
     before = set(folder.iterdir()) if folder.exists() else set()

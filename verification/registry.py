@@ -77,9 +77,12 @@ def _sequence(spark, sf) -> DataFrame:
 
 
 def _retention(spark, sf, params=PARAMS, fact=None) -> DataFrame:
-    """`fact` is a stored fact when the caller needs one for itself as well."""
+    """`fact` is a stored fact when the caller needs one for itself as well.
+
+    It is read for the outcomes of the sequence and again for the cohort, so it is stored here otherwise.
+    """
     t = derive.typed(spark, sf)
-    fact = facts.build_fct_orders(t) if fact is None else fact
+    fact = scratch_table(_fact(spark, sf), "fct_orders") if fact is None else fact
     return facts.first_order_retention(
         facts.customer_sequence(t, fact),
         fact,
