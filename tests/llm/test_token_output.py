@@ -117,3 +117,45 @@ def test_no_frequent_pair_is_left():
     for k, pair in enumerate(pairs):
         apart.setdefault(pair, []).append(k)
     assert max(len(places) for places in apart.values()) < 2 * repair.LEAST_COUNT
+
+
+def test_chunks_that_come_again_are_encoded_once(monkeypatch):
+    monkeypatch.setattr(token_output, "KEPT_CHUNKS", 50)
+    encoder, given = token_output.Encoder(token_output.TOKENIZER), []
+    plain = encoder._encode
+    monkeypatch.setattr(encoder, "_encode", lambda texts: given.extend(texts) or plain(texts))
+    texts = [f"evergreen passage {' '.join(f'n{i}x{k}' for k in range(20))} evergreen" for i in range(30)]
+    got = [np.frombuffer(ids, dtype="<u4").tolist() for text in texts for ids in encoder.encode([text])]
+    assert got == plain_ids(texts)
+    assert len(encoder.hashes) <= 50
+    # At the start of a text and after a space.
+    assert " ".join(given).count("evergreen") == 2 and " ".join(given).count("passage") == 1
+
+
+def test_a_tokenizer_without_some_bytes(tmp_path):
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    letters = sorted(set(pre_tokenizers.ByteLevel.alphabet()) - set("zé"))
+    own = Tokenizer(models.BPE(vocab={letter: k for k, letter in enumerate([*letters, "ab"])}, merges=[("a", "b")]))
+    own.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False)
+    own.save(str(tmp_path / "own.json"))
+    texts = ["ab zab zz ab\nz ab, z.", "z", *odd(50, 10)]
+    want = [x.ids for x in own.encode_batch(texts, add_special_tokens=False)]
+    encoder = token_output.Encoder(str(tmp_path / "own.json"))
+    assert [np.frombuffer(ids, dtype="<u4").tolist() for ids in encoder.encode(texts)] == want
+
+
+def test_late_rounds_count_only_what_has_changed(monkeypatch):
+    random = np.random.default_rng(11)
+    passage, noise = random.integers(0, 50_000, 1024), random.integers(0, 50_000, 60_000)
+    ids = np.concatenate([np.concatenate([part, passage]) for part in np.split(noise, 10)]).astype(np.uint32)
+    firsts = random.random(len(ids)) < 0.001
+    firsts[0] = True
+    counted, rules_of = [], repair._rules
+    monkeypatch.setattr(repair, "_rules", lambda pairs, *rest: counted.append(len(pairs)) or rules_of(pairs, *rest))
+    packed, kept, rules = repair.compress(ids, firsts, 50_257, 1 << 16)
+    assert len(counted) >= 8 and sum(counted) < 2 * len(ids)
+    # The same grammar as with all pairs counted in every round.
+    monkeypatch.setattr(repair, "_rules", lambda *given: (*rules_of(*given)[:3], False))
+    for got, want in zip((packed, kept, rules), repair.compress(ids, firsts, 50_257, 1 << 16), strict=True):
+        assert (got == want).all()

@@ -1,13 +1,15 @@
 """Re-Pair grammars over shards of token ids, with numpy.
 
 A round counts adjacent pairs, turns the most frequent ones into rules and replaces them all; rounds
-repeat until no pair is frequent or the symbols are used up. Pairs never reach across documents, so
+repeat until no pair is frequent or the symbols are used up. After a round that took all frequent pairs
+only pairs with a symbol of that round can be frequent, and the next one counts no others. Pairs never reach across documents, so
 every document stays a run of whole symbols, and the rules' expansion lengths locate any token.
 """
 
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 
 #: A pair becomes a rule from this many occurrences on: a rule takes 12 bytes, and saves a symbol of 2
 #: or 4 bytes an occurrence. Rules of a round at most.
@@ -15,29 +17,35 @@ LEAST_COUNT, RULES_PER_ROUND = 8, 4096
 _BUCKET_BITS = 20
 
 
-def _rules(pairs: np.ndarray, inside: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(pairs that become rules, most frequent first, where they stand, which of them stands there).
+def _rules(pairs: np.ndarray, places: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, bool]:
+    """(pairs that become rules, most frequent first, where they stand, which of them stands there, whether
+    these are all frequent ones) of the pairs at `places`.
 
-    Pairs are first counted by hash bucket, without a sort; those of the fullest buckets, twice as many
-    as there can be rules, are counted exactly.
+    Many pairs are first counted by hash bucket; those of the fullest buckets, twice as many as there can
+    be rules, are counted exactly.
     """
-    bits = pairs.dtype.itemsize * 8
-    bucket = (pairs * pairs.dtype.type(0x9E3779B97F4A7C15 >> (64 - bits) | 1)) >> pairs.dtype.type(bits - _BUCKET_BITS)
-    bucket = bucket.astype(np.int32)
-    sizes = np.bincount(bucket[inside], minlength=1 << _BUCKET_BITS)
-    often = np.flatnonzero(sizes >= LEAST_COUNT)
-    if len(often) > 2 * most:
-        often = often[np.argsort(-sizes[often], kind="stable")[: 2 * most]]
-    full = np.zeros(1 << _BUCKET_BITS, dtype=bool)
-    full[often] = True
-    at = np.flatnonzero(full[bucket] & inside)
-    codes, of, counts = np.unique(pairs[at], return_inverse=True, return_counts=True)
-    chosen = np.argsort(-counts, kind="stable")[:most]
-    chosen = chosen[counts[chosen] >= LEAST_COUNT]
+    whole = True
+    if len(pairs) > 1 << _BUCKET_BITS - 4:
+        bits = pairs.dtype.itemsize * 8
+        bucket = (pairs * pairs.dtype.type(0x9E3779B97F4A7C15 >> (64 - bits) | 1)) >> pairs.dtype.type(bits - _BUCKET_BITS)
+        bucket = bucket.astype(np.int32)
+        sizes = np.bincount(bucket, minlength=1 << _BUCKET_BITS)
+        often = np.flatnonzero(sizes >= LEAST_COUNT)
+        whole = len(often) <= 2 * most
+        if not whole:
+            often = often[np.argsort(-sizes[often], kind="stable")[: 2 * most]]
+        full = np.zeros(1 << _BUCKET_BITS, dtype=bool)
+        full[often] = True
+        inside = np.flatnonzero(full[bucket])
+        pairs, places = pairs[inside], places[inside]
+    of, codes = pd.factorize(pairs)
+    counts = np.bincount(of, minlength=len(codes))
+    frequent = np.flatnonzero(counts >= LEAST_COUNT)
+    chosen = frequent[np.lexsort((codes[frequent], -counts[frequent]))][:most]
     number = np.full(len(codes), -1, dtype=np.int64)
     number[chosen] = np.arange(len(chosen))
     of = number[of]
-    return codes[chosen], at[of >= 0], of[of >= 0]
+    return codes[chosen], places[of >= 0], of[of >= 0], whole and len(chosen) == len(frequent)
 
 
 def compress(ids: np.ndarray, firsts: np.ndarray, vocabulary: int, symbols: int):
@@ -47,14 +55,15 @@ def compress(ids: np.ndarray, firsts: np.ndarray, vocabulary: int, symbols: int)
     """
     kind, half = (np.uint32, 16) if symbols <= 1 << 16 else (np.uint64, 32)
     sequence, rules = ids.astype(kind), np.zeros((0, 2), dtype=np.int64)
+    places = np.flatnonzero(~firsts[1:])
     while True:
         room = min(RULES_PER_ROUND, symbols - vocabulary - len(rules))
-        if room <= 0 or len(sequence) < 2:
+        if room <= 0 or not len(places):
             break
-        codes, at, of = _rules(sequence[:-1] << kind(half) | sequence[1:], ~firsts[1:], room)
+        codes, at, of, whole = _rules(sequence[places] << kind(half) | sequence[places + 1], places, room)
         if not len(codes):
             break
-        # Of overlapping occurrences, every second one from the left is replaced.
+        # Of overlapping occurrences, every second one from the left is replaced, which ends the others too.
         place = np.arange(len(at))
         opens = np.concatenate([[True], np.diff(at) > 1])
         use = (place - np.maximum.accumulate(np.where(opens, place, 0))) % 2 == 0
@@ -64,6 +73,14 @@ def compress(ids: np.ndarray, firsts: np.ndarray, vocabulary: int, symbols: int)
         keep[at + 1] = False
         sequence, firsts = sequence[keep], firsts[keep]
         rules = np.concatenate([rules, np.stack([codes >> kind(half), codes & kind((1 << half) - 1)], axis=1).astype(np.int64)])
+        inside = ~firsts[1:]
+        if whole:
+            # Each replaced pair before it moved a symbol one place to the left.
+            new = at - np.arange(len(at))
+            near = np.zeros(len(sequence), dtype=bool)
+            near[new] = near[np.maximum(new - 1, 0)] = True
+            inside &= near[:-1]
+        places = np.flatnonzero(inside)
     return sequence, firsts, rules
 
 

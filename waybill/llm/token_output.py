@@ -21,6 +21,7 @@ from collections.abc import Iterator
 from types import ModuleType
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -64,19 +65,22 @@ class Encoder:
     A byte-level pre-tokenizer always parts a text before a single space between other characters,
     around a single line feed and between an ASCII letter and closing punctuation, so chunks between
     those are encoded on their own and the results joined; new chunks go through the tokenizer together,
-    as lines of one text. Equal chunks are found by 64-bit hash. Texts with two white-space characters in
-    a row are cut at single spaces only; texts with a special token's string in them, and all texts of
-    other tokenizers, are encoded as a whole.
+    as one text that parts between them, and their ids are told apart by the bytes that tokens stand for.
+    Equal chunks are found by 64-bit hash. When too many are kept, those that did not come again are
+    dropped. Texts with two white-space characters in a row are cut at single spaces only; texts with a
+    special token's string in them, and all texts of other tokenizers, are encoded as a whole.
     """
 
     def __init__(self, name: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path(name))
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.special = [token.content.encode() for token in self.tokenizer.get_added_tokens_decoder().values()]
         parts = json.loads(self.tokenizer.to_str())
-        splits = parts["pre_tokenizer"] or {}
+        splits, model = parts["pre_tokenizer"] or {}, parts["model"]
+        tokens = self.tokenizer.get_vocab(with_added_tokens=False)
         line = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.by_chunks = (
             parts["normalizer"] is None
@@ -84,22 +88,33 @@ class Encoder:
             and splits.get("use_regex", False)
             and not splits.get("add_prefix_space", True)
             and len(line) == 1
+            and tokens.keys() >= set(ByteLevel.alphabet())
+            and not model.get("continuing_subword_prefix")
+            and not model.get("end_of_word_suffix")
         )
         self.line = line[0] if line else None
-        self._forget()
-
-    def _forget(self) -> None:
-        """Nothing kept: hashes in order, and where the ids of each chunk are in `ids`."""
+        # A byte-level token has a character for each byte that it stands for.
+        self.widths = np.zeros(self.vocabulary, dtype=np.int64)
+        self.widths[list(tokens.values())] = [len(token) for token in tokens]
+        # Kept: hashes in order, where the ids of each chunk are in `ids`, and whether it came again.
         self.hashes = np.zeros(0, dtype=np.uint64)
         self.places = np.zeros(0, dtype=np.int64)
         self.sizes = np.zeros(0, dtype=np.int64)
+        self.again = np.zeros(0, dtype=bool)
         self.ids = np.zeros(0, dtype="<u4")
 
+    def _drop(self) -> None:
+        """Keep the chunks that came again, and see which of them still do."""
+        self.ids = self.ids[ranges(self.places[self.again], self.sizes[self.again])]
+        self.hashes, self.sizes = self.hashes[self.again], self.sizes[self.again]
+        self.places = np.cumsum(self.sizes) - self.sizes
+        self.again = np.zeros(len(self.hashes), dtype=bool)
+
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(x.ids, dtype="<u4") for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _ids_of(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, how many) of chunks, one after the other."""
+    def _ids_of(self, chunks: list[str], lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, how many) of chunks of `lengths` bytes, one after the other."""
         plain = np.zeros(len(chunks), dtype=bool)
         for k, chunk in enumerate(chunks):
             bare = chunk[1:] if chunk[:1] == " " else chunk
@@ -108,10 +123,12 @@ class Encoder:
         lines = np.flatnonzero(plain)
         for row in range(0, len(lines), LINES_AT_ONCE):
             part = lines[row : row + LINES_AT_ONCE]
-            ids = self._encode(["\n".join([chunks[k] for k in part.tolist()])])[0]
-            ends = np.append(np.flatnonzero(ids == self.line), len(ids))
-            sizes[part] = np.diff(ends, prepend=-1) - 1
-            parts.append(ids[ids != self.line])
+            some = [chunks[k] for k in part.tolist()]
+            ids = self._encode(["".join([chunk if chunk[0] == " " else "\n" + chunk for chunk in some])])[0]
+            ids = ids[ids != self.line]
+            last = np.searchsorted(np.cumsum(self.widths[ids]), np.cumsum(lengths[part]))
+            sizes[part] = np.diff(last, prepend=-1)
+            parts.append(ids)
             order.append(part)
         rest = np.flatnonzero(~plain)
         for k, ids in zip(rest.tolist(), self._encode([chunks[k] for k in rest.tolist()]), strict=True):
@@ -124,20 +141,21 @@ class Encoder:
         return flat[ranges(begins, sizes)], sizes
 
     def _kept(self, hashes: np.ndarray, chunks) -> np.ndarray:
-        """Places in `hashes` kept of distinct `hashes` in order; `chunks` gives the text of some of them."""
+        """Places in `hashes` kept of distinct `hashes` in order; `chunks` gives texts and bytes of some of them."""
         at = np.searchsorted(self.hashes, hashes)
         old = np.zeros(len(hashes), dtype=bool)
         inside = at < len(self.hashes)
         old[inside] = self.hashes[at[inside]] == hashes[inside]
+        self.again[at[old]] = True
         if len(self.hashes) + len(hashes) - old.sum() > KEPT_CHUNKS:
-            self._forget()
-            old[:] = False
+            self._drop()
         new = np.flatnonzero(~old)
         if len(new):
-            ids, sizes = self._ids_of(chunks(new))
+            ids, sizes = self._ids_of(*chunks(new))
             put = np.searchsorted(self.hashes, hashes[new])
             self.places = np.insert(self.places, put, len(self.ids) + np.cumsum(sizes) - sizes)
             self.sizes = np.insert(self.sizes, put, sizes)
+            self.again = np.insert(self.again, put, False)
             self.hashes = np.insert(self.hashes, put, hashes[new])
             self.ids = np.concatenate([self.ids, ids])
         return np.searchsorted(self.hashes, hashes)
@@ -146,14 +164,18 @@ class Encoder:
         """Ids of texts from their chunks, byte ranges of `raw` in order."""
         cuts = np.append(np.flatnonzero(np.diff(starts // RUN_BYTES, prepend=-1)), len(starts))
         hashes = [hash_spans(raw, starts[i:j], ends[i:j]) for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
-        hashes, first, which = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
+        # Numbers go by first appearance.
+        which, hashes = pd.factorize(np.concatenate(hashes))
+        first = np.flatnonzero(np.diff(np.maximum.accumulate(which), prepend=-1))
+        order = np.argsort(hashes)
         data = raw.tobytes()
 
-        def chunks(some: np.ndarray) -> list[str]:
-            spans = zip(starts[first[some]].tolist(), ends[first[some]].tolist(), strict=True)
-            return [data[i:j].decode() for i, j in spans]
+        def chunks(some: np.ndarray) -> tuple[list[str], np.ndarray]:
+            begin, end = starts[first[order[some]]], ends[first[order[some]]]
+            return [data[i:j].decode() for i, j in zip(begin.tolist(), end.tolist(), strict=True)], end - begin
 
-        at = self._kept(hashes, chunks)
+        at = np.zeros(len(hashes), dtype=np.int64)
+        at[order] = self._kept(hashes[order], chunks)
         sizes = self.sizes[at][which]
         flat = self.ids[ranges(self.places[at][which], sizes)].tobytes()
         counts = np.bincount(of_text, weights=sizes, minlength=texts).astype(np.int64)
