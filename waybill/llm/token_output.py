@@ -13,6 +13,7 @@ whether it has one (8 bits), its tokens and its symbols (32 bits each), then all
 
 from __future__ import annotations
 
+import ctypes
 import json
 import re
 import sys
@@ -281,6 +282,13 @@ def process_encoder(name: str) -> Encoder:
     return kept[name]
 
 
+def _release() -> None:
+    """Give freed memory back to the system, as workers stay for the tasks of other stages."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        getattr(ctypes.CDLL(None), "malloc_trim", bool)(0)
+
+
 def _pack(ids: list[int | None], tokens: list[bytes], vocabulary: int) -> bytes:
     """One shard of documents with their ids, end ids included."""
     flat = np.frombuffer(b"".join(tokens), dtype="<u4")
@@ -403,7 +411,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, end_id:
     dealt = dealt.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
     end = int(end_id).to_bytes(4, "little")
 
-    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def filled(batches: Iterator[pa.RecordBatch]) -> dict | None:
         encoder = out = None
         for batch in batches:
             if out is None:
@@ -413,8 +421,12 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, end_id:
             for part in encoder.encode_column(batch.column("text")):
                 for encoded in part:
                     out.add(next(ids), encoded + end)
-        if out is not None:
-            entry = out.close() | {"part": TaskContext.get().partitionId()}
+        return out and out.close() | {"part": TaskContext.get().partitionId()}
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        entry = filled(batches)
+        _release()
+        if entry is not None:
             yield pa.RecordBatch.from_pylist([entry], schema=_ENTRY)
 
     kind = "name string, bytes bigint, docs bigint, tokens bigint, part bigint"
@@ -462,6 +474,7 @@ class TokenReader(DataSourceReader):
                     schema=_READ,
                 )
                 start += int(ends[-1])
+        _release()
 
 
 class TokenSource(DataSource):
